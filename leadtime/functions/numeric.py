@@ -8,8 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def safe_numeric(value: Column, fill: float | None = 0.0) -> Column:
-    """Double, with unparsable, NaN and infinite values replaced by ``fill``."""
+def safe_numeric(value: Column | str, fill: float | None = 0.0) -> Column:
+    """Double, with unparsable, NaN and infinite values replaced by ``fill``; a str is a column name."""
+    if isinstance(value, str):
+        x = f"try_cast(`{value}` AS DOUBLE)"
+        finite = f"CASE WHEN NOT isnan({x}) AND abs({x}) <> double('Infinity') THEN {x} END"
+        return F.expr(finite if fill is None else f"coalesce({finite}, {float(fill)!r}D)")
     number = value.try_cast("double")
     finite = F.when(~F.isnan(number) & (F.abs(number) != float("inf")), number)
     return finite if fill is None else F.coalesce(finite, F.lit(float(fill)))
@@ -18,7 +22,7 @@ def safe_numeric(value: Column, fill: float | None = 0.0) -> Column:
 def column_or(df: DataFrame, name: str, default: float = 0.0) -> Column:
     """The named column as a safe number, or the default where the table has no such column."""
     if name in df.columns:
-        return safe_numeric(F.col(name), default)
+        return safe_numeric(name, default)
     return F.lit(float(default))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from leadtime.functions.dates import age_years, parse_yyyymmdd
 from leadtime.functions.names import missing, with_mark, with_prefix
-from leadtime.functions.numeric import column_or, safe_numeric
+from leadtime.functions.numeric import safe_numeric
 
 
 def project_by_name(df: DataFrame, fixed: Sequence[str] = (), prefixes: Sequence[str] = (),
@@ -89,7 +89,8 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 
 def sanitize(df: DataFrame, features: Sequence[str], keep: Sequence[str] = (), fill: float = 0.0) -> DataFrame:
     """Exactly the listed features as finite doubles (absent ones are filled), beside ``keep``."""
-    return df.select(*keep, *[column_or(df, c, fill).alias(c) for c in features])
+    have = set(df.columns)
+    return df.select(*keep, *[(safe_numeric(c, fill) if c in have else F.lit(float(fill))).alias(c) for c in features])
 
 
 def read_columns(df: DataFrame, columns: Sequence[str], default: float = 0.0) -> DataFrame:
@@ -99,12 +100,12 @@ def read_columns(df: DataFrame, columns: Sequence[str], default: float = 0.0) ->
 
 def align_for_scoring(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Reindex to the feature list and cast to double; absent columns are 0."""
-    return df.select(*keep, *[(F.col(c) if c in df.columns else F.lit(0.0)).cast("double").alias(c)
-                              for c in features])
+    have = set(df.columns)
+    return df.select(*keep, *[(F.col(c) if c in have else F.lit(0.0)).cast("double").alias(c) for c in features])
 
 
 def coerce_prefixed(df: DataFrame, prefixes: Sequence[str], fill: float = 0.0) -> DataFrame:
-    return df.withColumns({c: safe_numeric(F.col(c), fill) for c in with_prefix(df.columns, prefixes)})
+    return df.withColumns({c: safe_numeric(c, fill) for c in with_prefix(df.columns, prefixes)})
 
 
 def require_columns(df: DataFrame, columns: Sequence[str], table: str = "table") -> DataFrame:

@@ -13,7 +13,8 @@ from leadtime.functions.numeric import add_all, column_or, flag, safe_numeric, s
 
 def activity_totals(df: DataFrame, parts: Mapping[str, Sequence[str]]) -> DataFrame:
     """Each output is the sum of its listed count columns."""
-    return df.withColumns({out: add_all([column_or(df, c) for c in cols]) for out, cols in parts.items()})
+    have = set(df.columns)
+    return df.withColumns({out: add_all([safe_numeric(c) for c in cols if c in have]) for out, cols in parts.items()})
 
 
 def presence_flags(df: DataFrame, over: Mapping[str, tuple[str, float]]) -> DataFrame:
@@ -43,8 +44,9 @@ def condition_burden(df: DataFrame, weights: Mapping[str, float], count_name: st
 
 def cost_rollup(df: DataFrame, marks: Sequence[str], name: str) -> DataFrame:
     """Sum over the columns whose name contains a mark; 0 where there are none."""
-    return df.withColumn(name, add_all([safe_numeric(F.col(c)) for c in with_mark(df.columns, marks)]))
+    return df.withColumn(name, add_all([safe_numeric(c) for c in with_mark(df.columns, marks)]))
 
 
 def sum_of(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
-    return df.withColumn(name, add_all([column_or(df, c) for c in columns]))
+    have = set(df.columns)
+    return df.withColumn(name, add_all([safe_numeric(c) for c in columns if c in have]))

@@ -37,15 +37,13 @@ def histogram_counts(df: DataFrame, features: Sequence[str], side: str = "side",
     Two passes whatever the number of features: one row of bounds, then counts
     that are combined map-side to sides x features x bins rows.
     """
-    bounds = df.agg(F.struct(*[F.struct(F.min(safe_numeric(F.col(c))).alias("lo"),
-                                        F.max(safe_numeric(F.col(c))).alias("hi")).alias(c) for c in features])
+    bounds = df.agg(F.struct(*[F.struct(F.min(safe_numeric(c)).alias("lo"),
+                                        F.max(safe_numeric(c)).alias("hi")).alias(c) for c in features])
                     .alias("b")).scalar()
     bounded = df.select(side, *features, bounds.alias("_all"))
-    binned = F.array(*[F.struct(F.lit(c).alias("feature"),
-                                equal_width_bin(safe_numeric(F.col(c)), F.col("_all")[c]["lo"],
-                                                F.col("_all")[c]["hi"], bins)
-                                .alias("bin")) for c in features])
-    rows = bounded.select(side, F.explode(binned).alias("_b")).select(side, "_b.feature", "_b.bin")
+    each = [x for c in features for x in (F.lit(c), safe_numeric(c), F.col("_all")[c]["lo"], F.col("_all")[c]["hi"])]
+    long = bounded.select(side, F.stack(F.lit(len(features)), *each).alias("feature", "_v", "_lo", "_hi"))
+    rows = long.select(side, "feature", equal_width_bin(F.col("_v"), F.col("_lo"), F.col("_hi"), bins).alias("bin"))
     return rows.groupBy("feature", "bin").agg(F.count(F.when(F.col(side) == "ref", 1)).alias("n_ref"),
                                               F.count(F.when(F.col(side) == "cur", 1)).alias("n_cur"))
 

@@ -86,45 +86,65 @@ def cohort_on(entities: DataFrame, key: str, obs_dates: Sequence[date], obs: str
     return entities.select(key).distinct().withColumn(obs, F.explode(dates))
 
 
-def _relevant(ts: Column, obs: Column, features: Sequence[Feature]) -> Column:
-    """Does an event matter for an observation date to any of the features?"""
-    tests = []
-    if any(f.kind in ("count", "sum", "distinct", "recency") for f in features):
-        tests.append(ts < obs)
-    else:
-        back = [f.months for f in features if f.kind == "trailing"]
-        if back:
-            tests.append(in_lookback(ts, obs, max(back)))
-    ahead = [f.months for f in features if f.kind in ("ahead", "ahead_count")]
-    if ahead:
-        tests.append(in_forward(ts, obs, max(ahead)))
-    test = tests[0]
-    for other in tests[1:]:
-        test = test | other
-    return test
+def _months_back(features: Sequence[Feature]) -> list[int]:
+    return sorted({f.months for f in features if f.kind == "trailing"})
+
+
+def _months_ahead(features: Sequence[Feature]) -> list[int]:
+    return sorted({f.months for f in features if f.kind in ("ahead", "ahead_count")})
+
+
+def _needs_past(features: Sequence[Feature]) -> bool:
+    return any(f.kind in ("count", "sum", "distinct", "recency") for f in features)
 
 
 def _scan_bounds(df: DataFrame, time: str, obs_dates: Sequence[date], features: Sequence[Feature]) -> DataFrame:
     """Constant time bounds on the raw column, so that they reach the file scan."""
-    ts = F.col(time)
-    ahead = [f.months for f in features if f.kind in ("ahead", "ahead_count")]
+    ts, ahead, back = F.col(time), _months_ahead(features), _months_back(features)
     last = F.lit(max(obs_dates))
-    df = df.where(ts <= F.add_months(last, max(ahead)) if ahead else ts < last)
-    if not any(f.kind in ("count", "sum", "distinct", "recency") for f in features):
-        back = max((f.months for f in features if f.kind == "trailing"), default=0)
-        df = df.where(ts >= F.add_months(F.lit(min(obs_dates)), -back))
+    df = df.where(ts <= F.add_months(last, ahead[-1]) if ahead else ts < last)
+    if not _needs_past(features):
+        first = F.lit(min(obs_dates))
+        df = df.where(ts >= F.add_months(first, -back[-1]) if back else ts > first)
     return df
 
 
+def _dated(rows: DataFrame, obs_dates: Sequence[date], features: Sequence[Feature], all_features: Sequence[Feature],
+           obs: str) -> DataFrame:
+    """Each row once per date it matters for, beside the window bounds of that date.
+
+    The bounds are constants of the same type as the time column: no date
+    arithmetic is left to do per row and feature.
+    """
+    kind = dict(rows.dtypes)["_ts"]
+
+    def at(d: date, months: int = 0) -> str:
+        return f"CAST(add_months(DATE'{d}', {months}) AS {kind})"
+
+    table = ", ".join("named_struct(" + ", ".join(
+        [f"'obs', DATE'{d}', 'at', {at(d)}"]
+        + [f"'back_{m}', {at(d, -m)}" for m in _months_back(all_features)]
+        + [f"'ahead_{m}', {at(d, m)}" for m in _months_ahead(all_features)]) + ")" for d in obs_dates)
+    back, ahead, tests = _months_back(features), _months_ahead(features), []
+    if _needs_past(features):
+        tests.append("_ts < _d.at")
+    elif back:
+        tests.append(f"_ts >= _d.back_{back[-1]} AND _ts < _d.at")
+    if ahead:
+        tests.append(f"_ts > _d.at AND _ts <= _d.ahead_{ahead[-1]}")
+    return (rows.withColumn("_d", F.expr(f"explode(array({table}))")).where(" OR ".join(f"({t})" for t in tests))
+            .withColumn(obs, F.expr("_d.obs")))
+
+
 def attach_dates(df: DataFrame, time: str, obs_dates: Sequence[date], obs: str = "obs_date",
                  relevant=None) -> DataFrame:
     """Each event once per observation date it precedes (or that ``relevant(ts, obs)`` accepts).
 
-    A generator over a short literal list replaces the range join.
+    A generator over a short literal list and a filter replace the range join.
     """
     test = relevant or (lambda ts, d: ts < d)
     dates = F.array(*[F.lit(d) for d in obs_dates])
-    return df.withColumn(obs, F.explode(F.filter(dates, lambda d: test(F.col(time), d))))
+    return df.withColumn(obs, F.explode(dates)).where(test(F.col(time), F.col(obs)))
 
 
 def _flag_name(f: Feature) -> str:
@@ -136,8 +156,8 @@ def _branches(sources: Sequence[Source], features: Sequence[Feature], obs_dates:
     """Long rows (key, obs, _ts, _amt, one flag per source), one branch per table and purpose."""
     flags = sorted({_flag_name(f) for f in features})
 
-    def flagged(rows: DataFrame, own: dict[str, Column]) -> DataFrame:
-        return rows.withColumns({n: F.coalesce(own[n], F.lit(False)) if n in own else F.lit(False) for n in flags})
+    def flagged(own: dict[str, Column]) -> list[Column]:
+        return [(F.coalesce(own[n], F.lit(False)) if n in own else F.lit(False)).alias(n) for n in flags]
 
     out = []
     groups: dict[tuple, list[Source]] = {}
@@ -149,15 +169,15 @@ def _branches(sources: Sequence[Source], features: Sequence[Feature], obs_dates:
             amounts = {s.amount for s in group for f in plain if f.kind == "sum" and f.source == s.name}
             if None in amounts or len(amounts) > 1:
                 raise ValueError(f"sources {[s.name for s in group]} need one amount column to sum")
-            amount = safe_numeric(F.col(amounts.pop())) if amounts else F.lit(None).cast("double")
+            amount = safe_numeric(amounts.pop()) if amounts else F.lit(None).cast("double")
             events = _scan_bounds(group[0].events, group[0].time, obs_dates, plain)
             own = {f"_rows_{s.name}": F.lit(True) if s.where is None else s.where for s in group}
             own = {n: c for n, c in own.items() if n in flags}
-            rows = flagged(events, own).select(F.col(group[0].key).alias(key), F.col(group[0].time).alias("_ts"),
-                                               amount.alias("_amt"), *flags)
+            rows = events.select(F.col(group[0].key).alias(key), F.col(group[0].time).alias("_ts"),
+                                 amount.alias("_amt"), *flagged(own))
             if all(s.where is not None for s in group):
                 rows = rows.where(" OR ".join(f"`{n}`" for n in own))
-            out.append(attach_dates(rows, "_ts", obs_dates, obs, lambda ts, d, fs=plain: _relevant(ts, d, fs)))
+            out.append(_dated(rows, obs_dates, plain, features, obs))
     for s in sources:
         coded = [f for f in features if f.kind == "distinct" and f.source == s.name]
         if coded:
@@ -166,29 +186,26 @@ def _branches(sources: Sequence[Source], features: Sequence[Feature], obs_dates:
             events = _scan_bounds(s.events, s.time, obs_dates, coded)
             events = events if s.where is None else events.where(s.where)
             first = (events.where(F.col(s.code).isNotNull())
-                     .groupBy(F.col(s.key).alias(key), F.col(s.code).alias("_code")).agg(F.min(s.time).alias("_ts"))
-                     .withColumn("_amt", F.lit(None).cast("double")))
-            rows = flagged(first, {f"_codes_{s.name}": F.lit(True)}).select(key, "_ts", "_amt", *flags)
-            out.append(attach_dates(rows, "_ts", obs_dates, obs))
+                     .groupBy(F.col(s.key).alias(key), F.col(s.code).alias("_code")).agg(F.min(s.time).alias("_ts")))
+            rows = first.select(key, "_ts", F.lit(None).cast("double").alias("_amt"),
+                                *flagged({f"_codes_{s.name}": F.lit(True)}))
+            out.append(_dated(rows, obs_dates, coded, features, obs))
     return out
 
 
-def _aggregate(f: Feature, obs: str) -> Column:
-    ts, day, here = F.col("_ts"), F.col(obs), F.col(_flag_name(f))
-    if f.kind == "trailing":
-        return F.count(F.when(here & in_lookback(ts, day, f.months), 1))
-    if f.kind == "ahead_count":
-        return F.count(F.when(here & in_forward(ts, day, f.months), 1))
-    if f.kind == "ahead":
-        return F.max(F.when(here & in_forward(ts, day, f.months), 1).otherwise(0))
-    before = here & (ts < day)
-    if f.kind in ("count", "distinct"):
-        return F.count(F.when(before, 1))
-    if f.kind == "sum":
-        return F.sum(F.when(before, F.col("_amt")).otherwise(0.0))
-    if f.kind == "recency":
-        return F.max(F.when(before, ts))
-    raise ValueError(f"unknown feature kind {f.kind}")
+def _aggregate(f: Feature) -> Column:
+    """The conditional aggregate of one feature, as SQL text: the builds have dozens of them."""
+    here = f"`{_flag_name(f)}`"
+    inside = {"trailing": f"_ts >= _d.back_{f.months} AND _ts < _d.at",
+              "ahead": f"_ts > _d.at AND _ts <= _d.ahead_{f.months}",
+              "ahead_count": f"_ts > _d.at AND _ts <= _d.ahead_{f.months}"}.get(f.kind, "_ts < _d.at")
+    shape = {"count": "count(CASE WHEN {0} THEN 1 END)", "trailing": "count(CASE WHEN {0} THEN 1 END)",
+             "distinct": "count(CASE WHEN {0} THEN 1 END)", "ahead_count": "count(CASE WHEN {0} THEN 1 END)",
+             "ahead": "max(CASE WHEN {0} THEN 1 ELSE 0 END)", "sum": "sum(CASE WHEN {0} THEN _amt ELSE 0.0D END)",
+             "recency": "max(CASE WHEN {0} THEN _ts END)"}
+    if f.kind not in shape:
+        raise ValueError(f"unknown feature kind {f.kind}")
+    return F.expr(shape[f.kind].format(f"{here} AND {inside}")).alias(f.name)
 
 
 def entity_features(sources: Sequence[Source], features: Sequence[Feature], obs_dates: Sequence[date],
@@ -201,7 +218,7 @@ def entity_features(sources: Sequence[Source], features: Sequence[Feature], obs_
     whole = None
     for part in _branches(used, features, obs_dates, key, obs):
         whole = part if whole is None else whole.unionByName(part)
-    out = whole.groupBy(key, obs).agg(*[_aggregate(f, obs).alias(f.name) for f in features])
+    out = whole.groupBy(key, obs).agg(*[_aggregate(f) for f in features])
     days = {f.name: whole_days(F.col(f.name), F.col(obs)) for f in features if f.kind == "recency"}
     return out.withColumns(days) if days else out
 
@@ -210,8 +227,7 @@ def point_in_time(cohort: DataFrame, sources: Sequence[Source], features: Sequen
                   obs_dates: Sequence[date], key: str, obs: str = "obs_date") -> DataFrame:
     """The cohort with every feature; pairs without events get 0."""
     found = entity_features(sources, features, obs_dates, key, obs)
-    joined = cohort.join(found, [key, obs], "left")
-    return joined.withColumns({f.name: F.coalesce(F.col(f.name), F.lit(0)) for f in features})
+    return cohort.join(found, [key, obs], "left").fillna(0, [f.name for f in features])
 
 
 def point_in_time_any_dates(cohort: DataFrame, sources: Sequence[Source], features: Sequence[Feature],
@@ -230,7 +246,7 @@ def point_in_time_any_dates(cohort: DataFrame, sources: Sequence[Source], featur
         plain = [f for f in mine if f.kind != "distinct"]
         events = source.events if source.where is None else source.events.where(source.where)
         if plain:
-            amount = safe_numeric(F.col(source.amount)) if source.amount else F.lit(None).cast("double")
+            amount = safe_numeric(source.amount) if source.amount else F.lit(None).cast("double")
             part = (events.where(F.col(source.time).isNotNull())
                     .groupBy(F.col(source.key).alias(key), F.to_date(source.time).alias("_day"))
                     .agg(F.count("*").alias("_n"), F.sum(amount).alias("_amt"),

@@ -73,7 +73,7 @@ def means(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def melt(df: DataFrame, columns: Sequence[str], keep: Sequence[str], fill: float | None = None) -> DataFrame:
     """Rows (keep..., feature, value), one per listed column."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), safe_numeric(F.col(c), fill).alias("value"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), safe_numeric(c, fill).alias("value"))
                       for c in columns])
     return df.select(*keep, F.explode(pairs).alias("_p")).select(*keep, "_p.feature", "_p.value")
 

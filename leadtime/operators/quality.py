@@ -30,8 +30,8 @@ def column_facts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
         numeric = t in _INTEGERS or t in ("double", "float") or t.startswith("decimal")
         wide.append(F.struct(
             F.lit(c).alias("column"), F.lit(t).alias("dtype"), F.count(v).alias("n_present"),
-            (F.min(v).cast("double") if numeric else F.lit(None).cast("double")).alias("min"),
-            (F.max(v).cast("double") if numeric else F.lit(None).cast("double")).alias("max"),
+            (F.min(v).cast("double") + 0.0 if numeric else F.lit(None).cast("double")).alias("min"),
+            (F.max(v).cast("double") + 0.0 if numeric else F.lit(None).cast("double")).alias("max"),
             (F.count(F.when(v % 1 != 0, 1)) if t in ("double", "float") else F.lit(0).cast("bigint"))
             .alias("n_fractional"),
             F.coalesce(F.min(v) == F.max(v), F.lit(False)).alias("constant")).alias(f"_c{len(wide)}"))

@@ -11,7 +11,7 @@ from leadtime.plans.bindings import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-FAMILIES = ("cleaning", "features", "quality", "evaluation", "registry", "streams", "learning")
+FAMILIES = ("stores", "cleaning", "features", "quality", "evaluation", "registry", "streams", "learning")
 
 
 def query(name: str, sql: str | None = None):

@@ -152,7 +152,7 @@ _CONTRIB = "m AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}" for c in _COEF) + "
 
 
 def contributions(t: Tables):
-    return ev.linear_contributions(t.lineitem, _COEF, ["l_orderkey", "l_linenumber_key"] if False else ["l_orderkey", "l_suppkey", "l_partkey"])
+    return ev.linear_contributions(t.lineitem, _COEF, ["l_orderkey"])
 
 
 @query("e15_contribution_ranking", f"WITH {_CONTRIB} " + " UNION ALL ".join(
@@ -246,11 +246,11 @@ def m6_auc(t: Tables):
     return rounded(en.blend_objectives(t.predictions, "label", ["p_len", "p_hash"], en.simplex_grid(2, 4), "auc"), "objective")
 
 
-@query("m7_apply_weights", f"WITH {q.PRED} SELECT doc_id, round((0.5 * p_len + 0.25 * p_hash + 0.25 * p_src) / 1.0, 6)::DOUBLE "
+@query("m7_apply_weights", f"WITH {q.PRED} SELECT doc_id, round((0.5 * p_len + 0.25 * p_hash + 0.25 * p_src) / 1.0, 9)::DOUBLE "
        "AS p_blend FROM pred")
 def m7(t: Tables):
     df = en.apply_weights(t.predictions, SCORES, [0.5, 0.25, -0.25]).select("doc_id", "p_blend")
-    return rounded(df, "p_blend")
+    return rounded(df, "p_blend", digits=9)
 
 
 @query("m8_pseudo_labels", f"WITH {q.PRED} SELECT doc_id, greatest(p_hash, 1.0 - p_hash)::DOUBLE AS confidence, "
@@ -271,15 +271,16 @@ def m8_summary(t: Tables):
 @query("m9_cross_features", f"""
 WITH {q.PRED}, m AS (SELECT *, (p_len + p_hash + p_src) / 3.0 AS mu FROM pred) SELECT doc_id, """
        + ", ".join(f"{c} AS {c}_pred" for c in SCORES) + ", "
-       + ", ".join(f"round({a} * {b}, 6)::DOUBLE AS {a}_x_{b}_prod, round(({a} + {b}) / 2, 6)::DOUBLE AS {a}_x_{b}_mean, "
-                   f"greatest({a}, {b}) AS {a}_x_{b}_max, round(abs({a} - {b}), 6)::DOUBLE AS {a}_x_{b}_diff"
+       + ", ".join(f"round({a} * {b}, 11)::DOUBLE AS {a}_x_{b}_prod, round(({a} + {b}) / 2, 9)::DOUBLE AS {a}_x_{b}_mean, "
+                   f"greatest({a}, {b}) AS {a}_x_{b}_max, round(abs({a} - {b}), 9)::DOUBLE AS {a}_x_{b}_diff"
                    for a, b in (("p_len", "p_hash"), ("p_len", "p_src"), ("p_hash", "p_src")))
-       + """, round(mu, 6)::DOUBLE AS pred_mean, round(sqrt(((p_len - mu) * (p_len - mu) + (p_hash - mu) * (p_hash - mu)
-  + (p_src - mu) * (p_src - mu)) / 3.0), 6)::DOUBLE AS pred_std, greatest(p_len, p_hash, p_src) AS pred_max,
+       + """, round(mu, 9)::DOUBLE AS pred_mean, round(sqrt(((p_len - mu) * (p_len - mu) + (p_hash - mu) * (p_hash - mu)
+  + (p_src - mu) * (p_src - mu)) / 3.0), 9)::DOUBLE AS pred_std, greatest(p_len, p_hash, p_src) AS pred_max,
   least(p_len, p_hash, p_src) AS pred_min FROM m""")
 def m9(t: Tables):
     df = en.cross_features(t.predictions, SCORES, ["doc_id"])
-    return rounded(df, *[c for c in df.columns if c.endswith(("_prod", "_mean", "_diff", "_std"))])
+    df = rounded(df, *[c for c in df.columns if c.endswith("_prod")], digits=11)
+    return rounded(df, *[c for c in df.columns if c.endswith(("_mean", "_diff", "_std"))], digits=9)
 
 
 @query("m3_stratified_folds", """

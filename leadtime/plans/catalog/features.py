@@ -432,28 +432,33 @@ def _moments(where: str) -> str:
 
 
 def _scaled(c: str) -> str:
-    return f"round(({c} - m_{c}) / s_{c}, 4)::DOUBLE AS {c}" if c in SCALED else f"round({c}, 4)::DOUBLE AS {c}"
+    return f"round(({c} - m_{c}) / s_{c}, 4)::DOUBLE + 0.0 AS {c}" if c in SCALED else f"round({c}, 4)::DOUBLE + 0.0 AS {c}"
+
+
+def plain(name: str, digits: int):
+    """Rounded, with a negative zero turned into zero."""
+    return (F.round(name, digits) + F.lit(0.0)).alias(name)
 
 
 @query("k1_standardise", """
 WITH p AS (SELECT avg(o_totalprice) AS m, coalesce(nullif(stddev_pop(o_totalprice), 0), 1.0) AS s,
   avg(o_custkey) AS m2, coalesce(nullif(stddev_pop(o_custkey), 0), 1.0) AS s2 FROM orders)
-SELECT o_orderkey, round((o_totalprice - m) / s, 6) AS o_totalprice, round((o_custkey - m2) / s2, 6) AS o_custkey,
+SELECT o_orderkey, round((o_totalprice - m) / s, 6) + 0.0 AS o_totalprice, round((o_custkey - m2) / s2, 6) + 0.0 AS o_custkey,
   0.0::DOUBLE AS flat FROM orders, p""")
 def k1(t: Tables):
     df = t.orders.select("o_orderkey", "o_totalprice", "o_custkey", F.lit(3.0).alias("flat"))
     out = scaling.apply_scaler(df, scaling.fit_scaler(df, ["o_totalprice", "o_custkey", "flat"]))
-    return out.select("o_orderkey", *[F.round(c, 6).alias(c) for c in ("o_totalprice", "o_custkey", "flat")])
+    return out.select("o_orderkey", *[plain(c, 6) for c in ("o_totalprice", "o_custkey", "flat")])
 
 
 @query("k2_apply_stored_scaler", """
 WITH p AS (SELECT avg(o_totalprice) AS m, stddev_pop(o_totalprice) AS s FROM orders WHERE o_orderdate < DATE '1998-01-01')
-SELECT o_orderkey, round((o_totalprice - m) / s, 6) AS o_totalprice FROM orders, p WHERE o_orderdate >= DATE '1998-01-01'""")
+SELECT o_orderkey, round((o_totalprice - m) / s, 6) + 0.0 AS o_totalprice FROM orders, p WHERE o_orderdate >= DATE '1998-01-01'""")
 def k2(t: Tables):
     day = F.lit("1998-01-01").cast("date")
     params = scaling.fit_scaler(t.orders.where(F.col("o_orderdate") < day), ["o_totalprice"])
     new = t.orders.where(F.col("o_orderdate") >= day).select("o_orderkey", "o_totalprice")
-    return scaling.apply_scaler(new, params).withColumn("o_totalprice", F.round("o_totalprice", 6))
+    return scaling.apply_scaler(new, params).withColumn("o_totalprice", plain("o_totalprice", 6))
 
 
 @query("k3_split_and_scale", f"WITH {_REDUCED_SQL}, {_moments('WHERE year = 1997')} SELECT entity, year, label, "
@@ -461,7 +466,7 @@ def k2(t: Tables):
        + ", ".join(_scaled(c) for c in MODEL_COLUMNS) + " FROM made, p")
 def k3(t: Tables):
     df, _ = rf.split_and_scale(model_table(t), KEY, "year", "label", OBS_YEARS, MODEL_COLUMNS)
-    return df.select(KEY, "year", "label", "split", *[F.round(c, 4).alias(c) for c in MODEL_COLUMNS])
+    return df.select(KEY, "year", "label", "split", *[plain(c, 4) for c in MODEL_COLUMNS])
 
 
 @query("k3_split_rates", f"WITH {q.COHORT}, {q.ENTITIES} SELECT CASE year WHEN 1997 THEN 'train' WHEN 1998 THEN 'val' ELSE "
@@ -475,19 +480,19 @@ def k3_rates(t: Tables):
 
 @query("k6_prepare_training", """
 WITH p AS (SELECT avg(value) AS m, stddev_pop(value) AS s FROM events)
-SELECT event_id, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS label, round((value - m) / s, 6) AS value,
+SELECT event_id, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS label, round((value - m) / s, 6) + 0.0 AS value,
   user_id::DOUBLE AS user_id, 0.0::DOUBLE AS not_there FROM events, p""")
 def k6(t: Tables):
     raw = t.events.withColumn("label", flag(F.col("event_type") == "error"))
     df, _ = scaling.prepare_training(raw, ["value", "user_id", "not_there"], ["value"], ["event_id", "label"])
-    return df.withColumn("value", F.round("value", 6))
+    return df.withColumn("value", plain("value", 6))
 
 
 @query("k7_prepare_inference", """
 WITH p AS (SELECT avg(value) AS m, stddev_pop(value) AS s FROM events WHERE event_type <> 'error')
-SELECT event_id, round((value - m) / s, 6) AS value, 0.0::DOUBLE AS not_there FROM events, p WHERE event_type = 'error'""")
+SELECT event_id, round((value - m) / s, 6) + 0.0 AS value, 0.0::DOUBLE AS not_there FROM events, p WHERE event_type = 'error'""")
 def k7(t: Tables):
     params = scaling.fit_scaler(t.events.where(F.col("event_type") != "error"), ["value"])
     new = t.events.where(F.col("event_type") == "error")
     df = scaling.prepare_inference(new, ["value", "not_there"], params, ["event_id"])
-    return df.withColumn("value", F.round("value", 6))
+    return df.withColumn("value", plain("value", 6))

@@ -1 +1,102 @@
-"""x"""
+"""Fitted models. Their numbers have no SQL twin; what SQL can say about them (rows, counts) is checked."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from leadtime.operators import evaluation as ev
+from leadtime.operators import learners as ml
+from leadtime.operators import point_in_time as pit
+from leadtime.operators.cleaning import temporal_split
+from leadtime.plans.bindings import KEY, OBS_DATES, OBS_YEARS, URGENT, Tables
+from leadtime.plans.catalog import query
+from leadtime.plans.catalog import sql as q
+from leadtime.session import cut_lineage
+
+FEATURES = ["n_before", "n_6m", "n_12m", "spent", "days_since"]
+IDS = ["row_id", KEY, "split", "label"]
+
+
+def labelled(t: Tables):
+    """Order features and the urgent-order label of every customer and date; cut so that fits do not redo it."""
+    urgent = pit.Source("urgent", t.orders, "o_custkey", "o_orderdate", where=F.col("o_orderpriority").isin(URGENT))
+    wanted = [pit.count_before("inpatient", "n_before"), pit.count_trailing("inpatient", 6, "n_6m"),
+              pit.count_trailing("inpatient", 12, "n_12m"), pit.sum_before("inpatient", "spent"),
+              pit.days_since_last("inpatient", "days_since"), pit.event_ahead("urgent", 6, "label")]
+    df = pit.point_in_time(t.cohort, [*t.sources[:1], urgent], wanted, OBS_DATES, KEY)
+    df = temporal_split(df, F.year("obs_date"), OBS_YEARS)
+    thousands = F.col("spent") / 100000.0
+    return cut_lineage(df.withColumns({"row_id": F.concat_ws("@", KEY, "obs_date"), "spent": thousands})
+                       .select(*IDS, *FEATURES))
+
+
+def scored(df, name):
+    return df.select("row_id", "split", "label", F.round(name, 6).alias(name))
+
+
+@query("m1_boosted_trees")
+def m1(t: Tables):
+    df = labelled(t)
+    fit_rows = df.where(F.col("split") != "test").withColumn("is_val", F.col("split") == "val")
+    model = ml.fit_boosted_trees(fit_rows, FEATURES, "label", "is_val", rounds=10, depth=3)
+    return scored(ml.add_score(model, ml.assemble(df, FEATURES), "p_trees"), "p_trees")
+
+
+@query("m2_balanced_logistic")
+def m2(t: Tables):
+    df = labelled(t)
+    model = ml.fit_balanced_logistic(df.where(F.col("split") == "train"), FEATURES, "label", penalty=0.001)
+    return scored(ml.add_score(model, ml.assemble(df, FEATURES), "p_logit"), "p_logit")
+
+
+def base_models():
+    return {"p_logit": ml.logistic_regression("label", 0.001, rounds=50),
+            "p_trees": ml.boosted_trees("label", rounds=3, depth=3)}
+
+
+@query("m3_out_of_fold")
+def m3(t: Tables):
+    train = labelled(t).where(F.col("split") == "train")
+    df = ml.out_of_fold(train, base_models(), FEATURES, "label", ["row_id"], folds=3)
+    return df.select("row_id", "label", "fold", F.round("p_logit", 6).alias("p_logit"), F.round("p_trees", 6).alias("p_trees"))
+
+
+@query("m4_stacking")
+def m4(t: Tables):
+    df = labelled(t)
+    stack = ml.Stacking(base_models(), FEATURES, "label", ["row_id"], folds=2).fit(df.where(F.col("split") == "train"))
+    return scored(stack.transform(df.where(F.col("split") != "train")), "p_stack")
+
+
+@query("m10_parameter_search")
+def m10(t: Tables):
+    df = labelled(t)
+    ranges = {"depth": ("int", 2, 4), "step": ("log", 0.01, 0.3), "rows": ("float", 0.5, 1.0)}
+    candidates = ml.draw_candidates(ranges, 3)
+
+    def build(**options):
+        return ml.boosted_trees("label", rounds=3, **options)
+
+    trials = ml.search_parameters(df.where(F.col("split") == "train"), df.where(F.col("split") == "val"), FEATURES,
+                                  "label", build, candidates, threshold=0.4)
+    return trials.select("trial", F.map_keys("params").alias("names"), F.round("trial_score", 6).alias("trial_score"))
+
+
+@query("m11_oversample_counts", f"""
+WITH {q.COHORT}, {q.LABEL}, n AS (SELECT count(*) AS n, count(l.entity) AS p FROM cohort c LEFT JOIN label l
+  ON c.entity = l.entity AND c.obs_date = l.obs_date)
+SELECT 0 AS label, false AS synthetic, n - p AS n_rows FROM n UNION ALL SELECT 1, false, p FROM n
+UNION ALL SELECT 1, true, n - p - p FROM n WHERE n - p > p""")
+def m11(t: Tables):
+    df = ml.oversample(labelled(t), "label", FEATURES, "row_id")
+    return df.groupBy("label", "synthetic").agg(F.count("*").alias("n_rows"))
+
+
+@query("m2_scores_auc")
+def m2_auc(t: Tables):
+    """AUC of the fitted scores per split."""
+    df = labelled(t)
+    model = ml.fit_balanced_logistic(df.where(F.col("split") == "train"), FEATURES, "label", penalty=0.001)
+    rows = ml.add_score(model, ml.assemble(df, FEATURES), "p")
+    return ev.validation_metrics(rows, "label", "p", ["split"]).select(
+        "split", F.round("auc_roc", 6).alias("auc_roc"), F.round("recall", 6).alias("recall"), "n_samples")

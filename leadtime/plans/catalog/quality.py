@@ -62,7 +62,7 @@ def q2(t: Tables):
     return quality.column_facts(t.lineitem, ["l_quantity", "l_extendedprice"]).select("column", "n_fractional")
 
 
-@query("q3_value_ranges", "SELECT 'l_discount' AS \"column\", min(l_discount) AS min, max(l_discount) AS max FROM lineitem "
+@query("q3_value_ranges", "SELECT 'l_discount' AS \"column\", min(l_discount) + 0.0 AS min, max(l_discount) + 0.0 AS max FROM lineitem "
        "UNION ALL SELECT 'l_linenumber', min(l_linenumber)::DOUBLE, max(l_linenumber)::DOUBLE FROM lineitem")
 def q3(t: Tables):
     return quality.column_facts(t.lineitem, ["l_discount", "l_linenumber"]).select("column", "min", "max")

@@ -22,15 +22,12 @@ _VERSIONS = f"""versions AS (SELECT lang AS model, {_VERSION} AS version, count(
 
 
 def versions(t: Tables):
-    v = F.substring("source", 4, 9).cast("int")
-    stage = F.when(v == 3, "Production").when(v.isin(5, 9), "Staging").otherwise("None")
-    role = F.when(v == 3, "champion").when(v.isin(5, 9), "challenger").otherwise("none")
+    v, new = F.substring("source", 4, 9).cast("int"), F.col("version")
     return (t.documents.groupBy(F.col("lang").alias("model"), v.alias("version"))
             .agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("run_id"))
-            .withColumns({"stage": F.when(F.col("version") == 3, "Production").when(F.col("version").isin(5, 9), "Staging")
-                          .otherwise("None"),
-                          "role": F.when(F.col("version") == 3, "champion").when(F.col("version").isin(5, 9), "challenger")
-                          .otherwise("none")}))
+            .withColumns({
+                "stage": F.when(new == 3, "Production").when(new.isin(5, 9), "Staging").otherwise("None"),
+                "role": F.when(new == 3, "champion").when(new.isin(5, 9), "challenger").otherwise("none")}))
 
 
 # metrics per version of one model family: every source is a version

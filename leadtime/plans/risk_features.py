@@ -89,8 +89,8 @@ def full_features(entities: DataFrame, sources: Sequence[pit.Source], years: Seq
     df = composites.sum_of(df, ["COUT_BENEFICIARY_ANNUEL", "COUT_CLAIMS_PASSE"], "COUT_TOTAL")
     if "AGE" in df.columns:
         # the median of the entity table itself: the joined features do not change the ages
-        age = safe_numeric(F.col("AGE"), None)
-        middle = exact_quantile(entities.select(safe_numeric(F.col("AGE"), None).alias("AGE")), "AGE").scalar()
+        age = safe_numeric("AGE", None)
+        middle = exact_quantile(entities.select(safe_numeric("AGE", None).alias("AGE")), "AGE").scalar()
         filled = F.coalesce(age, middle, F.lit(float(fv.AGE_DEFAULT)))
         df = df.withColumn("AGE", clip(filled, *[float(x) for x in fv.AGE_RANGE]))
     else:
@@ -154,6 +154,6 @@ def clean_entities(raw: DataFrame, label: DataFrame | None = None) -> DataFrame:
     middle = exact_quantile(aged, "AGE").scalar()
     df = aged.withColumn("AGE", F.coalesce(F.col("AGE"), middle)).drop("_obs")
     df = cleaning.coerce_prefixed(df, [fv.FLAG_PREFIX])
-    df = df.withColumns({c: safe_numeric(F.col(c)) for c in df.columns if any(m in c for m in fv.COST_MARKS)})
+    df = df.withColumns({c: safe_numeric(c) for c in df.columns if any(m in c for m in fv.COST_MARKS)})
     return df if label is None else df.join(label, keys, "left").withColumn(
         fv.TARGET_COLUMN, F.coalesce(F.col(fv.TARGET_COLUMN), F.lit(0)))

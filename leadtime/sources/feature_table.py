@@ -32,9 +32,9 @@ class FeatureTable:
                 raise
             records = self.spark.createDataFrame([], META)
         # one short record per save: the whole history is one small group
-        pairs = F.sort_array(F.collect_list("version"))
-        before = records.agg(pairs.alias("_v")).scalar()
-        return records.withColumn("previous_version", F.array_max(F.filter(before, lambda v: v < F.col("version"))))
+        known = records.agg(F.sort_array(F.collect_list("version")).alias("_v")).scalar()
+        before = F.filter("_known", lambda v: v < F.col("version"))
+        return (records.withColumn("_known", known).withColumn("previous_version", F.array_max(before)).drop("_known"))
 
     def latest(self) -> int:
         newest = self.versions().agg(F.max("version").alias("v")).first()["v"]

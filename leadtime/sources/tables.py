@@ -12,10 +12,10 @@ from leadtime.operators.cleaning import union_all
 
 
 def read_entity_years(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str, year: str,
-                      pattern: str = r"_((?:19|20)\d{2})_") -> DataFrame:
-    """All yearly files in one scan; the year comes from the file name."""
+                      pattern: str = r"^.*_((?:19|20)\d{2})_") -> DataFrame:
+    """All yearly files in one scan; the year comes from the file's place (the last match counts)."""
     raw = spark.read.schema(schema).option("header", True).csv(paths)
-    return raw.withColumn(year, F.regexp_extract(F.col("_metadata.file_name"), pattern, 1).try_cast("int"))
+    return raw.withColumn(year, F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).try_cast("int"))
 
 
 def read_event_tables(spark: SparkSession, shards: Mapping[str, Sequence[str]],
