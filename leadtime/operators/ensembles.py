@@ -134,11 +134,11 @@ def assign_folds(df: DataFrame, label: str, keys: Sequence[str], folds: int = 5,
     """Stratified folds whose sizes differ by at most one per class.
 
     The rank of a row within its class, in the order of its md5, is its rank
-    within one of 4,096 hash groups plus the sizes of the groups before it; a
-    class with most of the rows is therefore spread over 4,096 window groups.
+    within one of 65,536 hash groups plus the sizes of the groups before it; a
+    class with most of the rows is therefore spread over 65,536 window groups.
     """
     digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
     rows = df.withColumns({"_digest": digest, "_one": F.lit(1).cast("bigint")}).withColumn(
-        "_bucket", F.substring("_digest", 1, 3))
+        "_bucket", F.substring("_digest", 1, 4))
     ranked = add_before(rows, {"_rank": "_one"}, ["_digest", *keys], groups=[label])
     return ranked.withColumn(name, (F.col("_rank") % folds).cast("int")).drop("_digest", "_one", "_bucket", "_rank")

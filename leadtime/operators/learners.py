@@ -201,7 +201,7 @@ def oversample(df: DataFrame, label: str, features: Sequence[str], key: str, nei
                             F.count(F.when(F.col(label) == 0, 1)).alias("n")).alias("s")).scalar()
     digest = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
     rows = rows.withColumns({"_digest": digest, "_one": F.lit(1).cast("bigint")}).withColumn(
-        "_bucket", F.substring("_digest", 1, 3))
+        "_bucket", F.substring("_digest", 1, 4))
     rows = add_before(rows, {"_rank": "_one"}, ["_digest"]).withColumn("_s", sizes)
     need = F.greatest(F.col("_s")["n"] - F.col("_s")["p"], F.lit(0))
     share = F.floor(need / F.col("_s")["p"]) + (F.col("_rank") < need % F.col("_s")["p"]).cast("int")

@@ -14,7 +14,7 @@ SCHEMA = "ts timestamp, endpoint string, status int, latency double"
 
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
-    path = str(tmp_path_factory.mktemp("events"))
+    path = str(tmp_path_factory.mktemp("events") / "data")
     start = datetime(2024, 1, 1)
     rows = [(start + timedelta(seconds=17 * i), "ab"[i % 2], 500 if i % 10 == 0 else 200, (i % 40) / 100) for i in range(600)]
     spark.createDataFrame(rows, SCHEMA).repartition(5).write.parquet(path)
