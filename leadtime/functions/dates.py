@@ -16,10 +16,13 @@ def parse_yyyymmdd(value: Column, dtype: str | None = None) -> Column:
     be in scientific notation.
     """
     if dtype in ("double", "float"):
-        value = F.when(~F.isnan(value), value.try_cast("decimal(20,0)"))
-    text = F.regexp_replace(F.trim(value.cast("string")), r"\.0$", "")
-    eight = F.when(text.rlike(r"^[0-9]{8}$"), text)
-    return F.try_to_timestamp(eight, F.lit("yyyyMMdd")).cast("date")
+        value = F.when(value == F.floor(value), value.try_cast("bigint"))
+    raw = F.trim(value.cast("string"))
+    text = F.when(F.endswith(raw, F.lit(".0")), F.left(raw, F.length(raw) - 2)).otherwise(raw)
+    digits = (F.length(text) == 8) & (F.translate(text, "0123456789", "") == "")
+    # a failed cast yields NULL at once; a failed format parse would raise and catch for every bad row
+    dashed = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
+    return F.when(digits, dashed.try_cast("date"))
 
 
 def year_start(year: Column) -> Column:

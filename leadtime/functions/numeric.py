@@ -19,11 +19,26 @@ def safe_numeric(value: Column | str, fill: float | None = 0.0) -> Column:
     return finite if fill is None else F.coalesce(finite, F.lit(float(fill)))
 
 
+def safe_columns(df: DataFrame, names: Sequence[str], default: float = 0.0) -> dict[str, Column]:
+    """The named columns as safe numbers; absent ones are the default.
+
+    Whole-number columns can be neither NaN nor infinite, so only their NULLs are filled.
+    """
+    types = dict(df.dtypes)
+    out = {}
+    for name in names:
+        if name not in types:
+            out[name] = F.lit(float(default))
+        elif types[name] in ("tinyint", "smallint", "int", "bigint"):
+            out[name] = F.expr(f"coalesce(CAST(`{name}` AS DOUBLE), {float(default)!r}D)")
+        else:
+            out[name] = safe_numeric(name, default)
+    return out
+
+
 def column_or(df: DataFrame, name: str, default: float = 0.0) -> Column:
     """The named column as a safe number, or the default where the table has no such column."""
-    if name in df.columns:
-        return safe_numeric(name, default)
-    return F.lit(float(default))
+    return safe_columns(df, [name], default)[name]
 
 
 def as_target(value: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from leadtime.functions.dates import age_years, parse_yyyymmdd
 from leadtime.functions.names import missing, with_mark, with_prefix
-from leadtime.functions.numeric import safe_numeric
+from leadtime.functions.numeric import safe_columns, safe_numeric
 
 
 def project_by_name(df: DataFrame, fixed: Sequence[str] = (), prefixes: Sequence[str] = (),
@@ -89,8 +89,7 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 
 def sanitize(df: DataFrame, features: Sequence[str], keep: Sequence[str] = (), fill: float = 0.0) -> DataFrame:
     """Exactly the listed features as finite doubles (absent ones are filled), beside ``keep``."""
-    have = set(df.columns)
-    return df.select(*keep, *[(safe_numeric(c, fill) if c in have else F.lit(float(fill))).alias(c) for c in features])
+    return df.select(*keep, *[v.alias(c) for c, v in safe_columns(df, features, fill).items()])
 
 
 def read_columns(df: DataFrame, columns: Sequence[str], default: float = 0.0) -> DataFrame:

@@ -8,30 +8,31 @@ from pyspark.sql import DataFrame, functions as F
 
 from leadtime.functions.flags import count_flags, weighted_index
 from leadtime.functions.names import with_mark
-from leadtime.functions.numeric import add_all, column_or, flag, safe_numeric, smoothed_ratio
+from leadtime.functions.numeric import add_all, flag, safe_columns, smoothed_ratio
 
 
 def activity_totals(df: DataFrame, parts: Mapping[str, Sequence[str]]) -> DataFrame:
     """Each output is the sum of its listed count columns."""
-    have = set(df.columns)
-    return df.withColumns({out: add_all([safe_numeric(c) for c in cols if c in have]) for out, cols in parts.items()})
+    v = safe_columns(df, [c for cols in parts.values() for c in cols])
+    return df.withColumns({out: add_all([v[c] for c in cols]) for out, cols in parts.items()})
 
 
 def presence_flags(df: DataFrame, over: Mapping[str, tuple[str, float]]) -> DataFrame:
     """Each output is 1 where its column exceeds its limit: ``{out: (column, limit)}``."""
-    return df.withColumns({out: flag(column_or(df, c) > F.lit(limit)) for out, (c, limit) in over.items()})
+    v = safe_columns(df, [c for c, _ in over.values()])
+    return df.withColumns({out: flag(v[c] > F.lit(limit)) for out, (c, limit) in over.items()})
 
 
 def smoothed_ratios(df: DataFrame, ratios: Mapping[str, tuple[str, str]]) -> DataFrame:
-    return df.withColumns({out: smoothed_ratio(column_or(df, a), column_or(df, b))
-                           for out, (a, b) in ratios.items()})
+    v = safe_columns(df, [c for pair in ratios.values() for c in pair])
+    return df.withColumns({out: smoothed_ratio(v[a], v[b]) for out, (a, b) in ratios.items()})
 
 
 def newcomer_flag(df: DataFrame, counts: Sequence[str], name: str) -> DataFrame:
     """1 where all the listed counts are zero. The choice of counts is the variant."""
     none = F.lit(True)
-    for c in counts:
-        none = none & (column_or(df, c) == 0)
+    for v in safe_columns(df, counts).values():
+        none = none & (v == 0)
     return df.withColumn(name, flag(none))
 
 
@@ -44,9 +45,8 @@ def condition_burden(df: DataFrame, weights: Mapping[str, float], count_name: st
 
 def cost_rollup(df: DataFrame, marks: Sequence[str], name: str) -> DataFrame:
     """Sum over the columns whose name contains a mark; 0 where there are none."""
-    return df.withColumn(name, add_all([safe_numeric(c) for c in with_mark(df.columns, marks)]))
+    return sum_of(df, with_mark(df.columns, marks), name)
 
 
 def sum_of(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
-    have = set(df.columns)
-    return df.withColumn(name, add_all([safe_numeric(c) for c in columns if c in have]))
+    return df.withColumn(name, add_all(list(safe_columns(df, columns).values())))

@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 
 from leadtime.fixed_values import (DRIFT_CRITICAL_PCT, DRIFT_HIGH_PCT, PSI_BINS, PSI_LIMIT, PSI_SHARE_FLOOR,
                                    RETRAIN_RECALL_MIN, RETRAIN_SEVERITIES, TARGET_DRIFT_LIMIT)
-from leadtime.functions.numeric import add_all, as_target, column_or, safe_numeric
+from leadtime.functions.numeric import add_all, as_target, safe_columns, safe_numeric
 
 
 def drift_sides(df: DataFrame, is_ref: Column, is_cur: Column, features: Sequence[str],
@@ -21,7 +21,7 @@ def drift_sides(df: DataFrame, is_ref: Column, is_cur: Column, features: Sequenc
     rows = df.where(is_ref | is_cur)
     extra = [as_target(F.col(target)).alias(target)] if target else []
     return rows.select(F.when(is_ref, "ref").otherwise("cur").alias(side), *extra,
-                       *[column_or(rows, c).alias(c) for c in features])
+                       *[v.alias(c) for c, v in safe_columns(rows, features).items()])
 
 
 def equal_width_bin(value: Column, low: Column, high: Column, bins: int = PSI_BINS) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from leadtime.fixed_values import MISSING_MODEL_SCORE, PSEUDO_LABEL_CONFIDENCE
 from leadtime.functions.numeric import add_all, ratio_or_zero
@@ -23,10 +23,10 @@ def check_weights(weights: Sequence[float], n_models: int) -> list[float]:
     return [float(w) for w in weights]
 
 
-def blend(scores: Sequence[str], weights: Sequence[float]) -> Column:
-    """Weighted mean of the score columns."""
-    total = float(sum(weights))
-    return add_all([F.lit(float(w)) * F.col(c) for c, w in zip(scores, weights)]) / F.lit(total)
+def blend(scores: Sequence[str], weights: Sequence[float]) -> str:
+    """SQL text of the weighted mean of the score columns."""
+    terms = " + ".join(f"{float(w)!r}D * `{c}`" for c, w in zip(scores, weights))
+    return f"(({terms}) / {float(sum(weights))!r}D)"
 
 
 def soft_vote(df: DataFrame, scores: Sequence[str], weights: Sequence[float] | None = None,
@@ -35,7 +35,7 @@ def soft_vote(df: DataFrame, scores: Sequence[str], weights: Sequence[float] | N
     if not scores:
         raise ValueError("no models to vote")
     w = check_weights(weights or [1.0] * len(scores), len(scores))
-    one = blend(scores, w)
+    one = F.expr(blend(scores, w))
     zero = add_all([F.lit(x) * (F.lit(1.0) - F.col(c)) for c, x in zip(scores, w)]) / F.lit(float(sum(w)))
     p = one / F.greatest(one + zero, F.lit(1e-12))
     return df.withColumn(name, p).withColumn("predicted", (F.col(name) > 0.5).cast("int"))
@@ -62,12 +62,13 @@ def blend_objectives(df: DataFrame, label: str, scores: Sequence[str], grid: Seq
     For threshold metrics each row becomes a few flags per weight vector that
     are added up map-side; only one row per weight vector and task is shuffled.
     """
-    blended = [F.round(blend(scores, w), 12) for w in grid]
+    blended = [f"round({blend(scores, w)}, 12)" for w in grid]
     if objective == "auc":
-        each = F.posexplode(F.array(*blended)).alias("weight_id", "_score")
+        each = F.expr(f"posexplode(array({', '.join(blended)}))").alias("weight_id", "_score")
         m = roc_auc(df.select(F.col(label).alias("_y"), each), "_y", "_score", ["weight_id"])
         return m.select("weight_id", F.col("auc_roc").alias("objective"))
-    hits = F.posexplode(F.array(*[b >= F.lit(threshold) for b in blended])).alias("weight_id", "_hit")
+    flags = ", ".join(f"{b} >= {float(threshold)!r}D" for b in blended)
+    hits = F.expr(f"posexplode(array({flags}))").alias("weight_id", "_hit")
     true = F.col("_y") == 1
     c = (df.select(F.col(label).alias("_y"), hits).groupBy("weight_id")
          .agg(F.count(F.when(F.col("_hit") & true, 1)).alias("tp"),
@@ -84,7 +85,7 @@ def search_weights(df: DataFrame, label: str, scores: Sequence[str], grid: Seque
     """The best weight vector as one row; among equals the one listed first."""
     tried = blend_objectives(df, label, scores, grid, objective, threshold)
     best = tried.agg(F.max(F.struct(F.col("objective"), (-F.col("weight_id")).alias("neg"))).alias("b"))
-    vectors = F.array(*[F.array(*[F.lit(float(x)) for x in w]) for w in grid])
+    vectors = F.expr("array(" + ", ".join("array(" + ", ".join(f"{float(x)!r}D" for x in w) + ")" for w in grid) + ")")
     chosen = best.select((-F.col("b.neg")).alias("weight_id"), F.col("b.objective").alias("objective"))
     vector = F.get(vectors, F.col("weight_id"))
     return chosen.select("weight_id", "objective", *[F.get(vector, F.lit(i)).alias(f"w_{c}") for i, c in enumerate(scores)])
@@ -92,7 +93,7 @@ def search_weights(df: DataFrame, label: str, scores: Sequence[str], grid: Seque
 
 def apply_weights(df: DataFrame, scores: Sequence[str], weights: Sequence[float], name: str = "p_blend") -> DataFrame:
     """Blend with stored weights; only the size of a weight counts."""
-    return df.withColumn(name, blend(scores, check_weights([abs(w) for w in weights], len(scores))))
+    return df.withColumn(name, F.expr(blend(scores, check_weights([abs(w) for w in weights], len(scores)))))
 
 
 def pseudo_labels(df: DataFrame, score: str, confidence: float = PSEUDO_LABEL_CONFIDENCE) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from leadtime.fixed_values import (CANDIDATE_MIN_AUC, PRECISION_MIN_POSITIVES, RECALL_TARGET, SWEEP_THRESHOLDS)
 from leadtime.functions.numeric import flag, ratio_or_zero
-from leadtime.operators.prefix import add_before, join_same, quantile_bounds, with_bucket
+from leadtime.operators.prefix import add_before, quantile_bounds, with_bucket
 
 COUNTS = ("tp", "fp", "tn", "fn")
 
@@ -124,12 +124,8 @@ def pr_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
     if bounds is None:
         bounds = quantile_bounds(df, score)
     points = with_bucket(_per_score(df, label, score, by), "score", bounds)
-    run = add_before(points, {"_tp": "pos", "_fp": "neg"}, ["score"], groups=by, descending=True)
-    whole = points.groupBy(*by).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
-    if by:
-        run = join_same(run, whole, by)
-    else:
-        run = run.withColumn("_w", whole.select(F.struct("_P", "_N")).scalar()).select("*", "_w.*")
+    run = add_before(points, {"_tp": "pos", "_fp": "neg"}, ["score"], groups=by, descending=True,
+                     totals={"_P": "pos", "_N": "neg"})
     tp, fp = F.col("_tp") + F.col("pos"), F.col("_fp") + F.col("neg")
     counts = run.select(*by, F.col("score").alias("threshold"), tp.alias("tp"), fp.alias("fp"),
                         (F.col("_N") - fp).alias("tn"), (F.col("_P") - tp).alias("fn"))

@@ -37,35 +37,32 @@ def with_bucket(df: DataFrame, column: str, bounds: Sequence[float], name: str =
     return out.withColumn(name, F.col(name).cast("int"))
 
 
-def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner equi-join in which a NULL key meets the NULL key, so that no group is lost."""
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    on = None
-    for k in keys:
-        same = left[k].eqNullSafe(renamed[f"_r_{k}"])
-        on = same if on is None else on & same
-    return left.join(renamed, on).drop(*[f"_r_{k}" for k in keys])
-
-
 def add_before(df: DataFrame, sums: dict[str, str], order: Sequence[str], bucket: str = "_bucket",
-               groups: Sequence[str] = (), descending: bool = False) -> DataFrame:
+               groups: Sequence[str] = (), descending: bool = False, totals: dict[str, str] | None = None) -> DataFrame:
     """For each ``{new: value}``: the sum of ``value`` over all earlier rows of the group.
 
     ``bucket`` must rise with ``order`` and must depend on the row's own values.
-    The bucket totals are few (groups x buckets) and joined on equal keys.
+    ``totals`` adds ``{new: value}`` sums over the whole group, from the same
+    bucket table. Rows are shuffled once: window and join share the key (group,
+    bucket), so a heavy group stays spread over its buckets. The group is one
+    struct, in which a NULL equals a NULL, so no group is lost in the join.
     """
     def direction(c):
         return F.col(c).desc() if descending else F.col(c).asc()
 
-    totals = df.groupBy(*groups, bucket).agg(*[F.sum(v).alias(f"_t_{n}") for n, v in sums.items()])
-    over = Window.partitionBy(*groups).orderBy(direction(bucket)).rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(*groups, bucket, *[
-        F.coalesce(F.sum(f"_t_{n}").over(over), F.lit(0)).alias(f"_s_{n}") for n in sums])
-    inside = (Window.partitionBy(*groups, bucket).orderBy(*[direction(c) for c in order])
+    totals = totals or {}
+    keyed = df.withColumn("_g", F.struct(*groups)) if groups else df
+    by = ["_g"] if groups else []
+    sizes = keyed.groupBy(*by, bucket).agg(*[F.sum(v).alias(f"_t_{v}") for v in {*sums.values(), *totals.values()}])
+    over = Window.partitionBy(*by).orderBy(direction(bucket)).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        *by, bucket, *[F.coalesce(F.sum(f"_t_{v}").over(over), F.lit(0)).alias(f"_s_{n}") for n, v in sums.items()],
+        *[F.sum(f"_t_{v}").over(Window.partitionBy(*by)).alias(n) for n, v in totals.items()])
+    inside = (Window.partitionBy(*by, bucket).orderBy(*[direction(c) for c in order])
               .rowsBetween(Window.unboundedPreceding, -1))
-    ran = df.withColumns({n: F.coalesce(F.sum(v).over(inside), F.lit(0)) for n, v in sums.items()})
-    joined = join_same(ran, starts, [*groups, bucket])
-    return joined.withColumns({n: F.col(n) + F.col(f"_s_{n}") for n in sums}).drop(*[f"_s_{n}" for n in sums])
+    ran = keyed.withColumns({n: F.coalesce(F.sum(v).over(inside), F.lit(0)) for n, v in sums.items()})
+    joined = ran.join(starts, [*by, bucket])
+    return joined.withColumns({n: F.col(n) + F.col(f"_s_{n}") for n in sums}).drop("_g", *[f"_s_{n}" for n in sums])
 
 
 def exact_quantile(df: DataFrame, column: str, q: float = 0.5, name: str = "value",

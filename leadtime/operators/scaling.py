@@ -16,22 +16,19 @@ def fit_scaler(df: DataFrame, columns: Sequence[str], where: Column | None = Non
     split); all columns are fitted in a single pass.
     """
     rows = df if where is None else df.where(where)
-    params = []
-    for c in columns:
-        std = F.stddev_pop(F.col(c).cast("double"))
-        usable = F.when(std.isNull() | (std == 0), F.lit(1.0)).otherwise(std)
-        params.append(F.struct(F.coalesce(F.avg(F.col(c).cast("double")), F.lit(0.0)).alias("mean"),
-                               usable.alias("std")).alias(c))
-    return rows.agg(*params)
+    def param(c: str) -> str:
+        std = f"stddev_pop(CAST(`{c}` AS DOUBLE))"
+        return (f"named_struct('mean', coalesce(avg(CAST(`{c}` AS DOUBLE)), 0D), "
+                f"'std', coalesce(nullif({std}, 0D), 1D)) AS `{c}`")
+
+    return rows.agg(*[F.expr(param(c)) for c in columns])
 
 
 def apply_scaler(df: DataFrame, params: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Standardise the columns that exist; the parameters arrive as a scalar subquery, not a join."""
     chosen = [c for c in (columns or params.columns) if c in df.columns and c in params.columns]
-    p = F.col("_params")
-    return (df.withColumn("_params", params.select(F.struct(*chosen)).scalar())
-            .withColumns({c: (F.col(c).cast("double") - p[c]["mean"]) / p[c]["std"] for c in chosen})
-            .drop("_params"))
+    scaled = {c: F.expr(f"(CAST(`{c}` AS DOUBLE) - _params.`{c}`.mean) / _params.`{c}`.std") for c in chosen}
+    return df.withColumn("_params", params.select(F.struct(*chosen)).scalar()).withColumns(scaled).drop("_params")
 
 
 def prepare_training(df: DataFrame, features: Sequence[str], scaled: Sequence[str], keep: Sequence[str],

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leadtime.functions.numeric import uniform_hash
 from leadtime.operators import point_in_time as pit
+from leadtime.session import cut_lineage
 
 OBS_DATES = [date(1997, 1, 1), date(1998, 1, 1), date(1999, 1, 1)]
 OBS_YEARS = {1997: "train", 1998: "val", 1999: "test"}
@@ -75,6 +76,11 @@ class Tables:
         return pit.forward_label(dated, self.orders, KEY, "o_orderdate", OBS_DATES, 6, "label",
                                  codes=("o_orderpriority", URGENT), event_key="o_custkey").drop("obs_date")
 
+    @cached_property
+    def stored_entities(self) -> DataFrame:
+        """The entity table as a stored table, as the cleaning job would leave it for the feature builds."""
+        return cut_lineage(self.entities, "entities")
+
     @cached_property
     def urgent(self) -> DataFrame:
         return self.orders.where(F.col("o_orderpriority").isin(URGENT))

@@ -387,7 +387,7 @@ SELECT e.entity, e.year::INTEGER AS year, e.label, {_FULL_COLUMNS}, round(x, 6)
   {_BIN.format(*[repr(x) for x in fv.AGE_LABELS])} AS GROUPE_AGE
 FROM aged e JOIN feats f ON e.entity = f.entity AND e.obs_date = f.obs_date""")
 def f16(t: Tables):
-    df = rf.full_features(t.entities, t.sources, list(OBS_YEARS), KEY, "year", FLAG_WEIGHTS, COST_MARKS)
+    df = rf.full_features(t.stored_entities, t.sources, list(OBS_YEARS), KEY, "year", FLAG_WEIGHTS, COST_MARKS)
     money = [*q.SUMMED, "COUT_BENEFICIARY_ANNUEL", "COUT_CLAIMS_PASSE", "COUT_TOTAL"]
     ratios = ["RATIO_RX_OP_12M", "RATIO_CAR_OP_12M", "AGE"]
     df = df.withColumns({**{c: F.round(c, 2) for c in money}, **{c: F.round(c, 6) for c in ratios}})
@@ -411,7 +411,7 @@ MODEL_COLUMNS = [*FLAG_CODES, "AGE", "SEXE_ENC", "RACE_ENC", "BENE_ESRD_IND", "G
 
 
 def model_table(t: Tables):
-    return rf.reduced_features(t.entities, t.sources, list(OBS_YEARS), KEY, "year", "label", FLAG_WEIGHTS,
+    return rf.reduced_features(t.stored_entities, t.sources, list(OBS_YEARS), KEY, "year", "label", FLAG_WEIGHTS,
                                cost_marks=COST_MARKS, sex="sex_code", race="race_code")
 
 

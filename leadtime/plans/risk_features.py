@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, functions as F
 from leadtime import fixed_values as fv
 from leadtime.functions.dates import year_start
 from leadtime.functions.flags import clip_flag, code_flag
-from leadtime.functions.numeric import as_target, clip, column_or, right_closed_bin, right_closed_ordinal, safe_numeric
+from leadtime.functions.numeric import as_target, clip, column_or, right_closed_bin, right_closed_ordinal, safe_columns, safe_numeric
 from leadtime.operators import cleaning, composites, point_in_time as pit
 from leadtime.operators.prefix import exact_quantile
 from leadtime.operators.scaling import prepare_training
+from leadtime.session import cut_lineage
 
 FULL_FEATURES = [
     pit.count_before("inpatient", "NB_HOSP_PASSEES"),
@@ -111,9 +112,9 @@ def prepare_entities(entities: DataFrame, target: str = fv.TARGET_COLUMN,
     renal = F.lit(0.0)
     if "BENE_ESRD_IND" in df.columns:
         renal = F.when(F.col("BENE_ESRD_IND").cast("string") == "Y", F.lit(1.0)).otherwise(column_or(df, "BENE_ESRD_IND"))
+    v = safe_columns(df, ["AGE", sex, race])
     return df.withColumns({
-        "AGE": column_or(df, "AGE"), "SEXE_ENC": column_or(df, sex), "RACE_ENC": column_or(df, race),
-        "BENE_ESRD_IND": renal,
+        "AGE": v["AGE"], "SEXE_ENC": v[sex], "RACE_ENC": v[race], "BENE_ESRD_IND": renal,
         target: as_target(F.col(target))})
 
 
@@ -136,9 +137,12 @@ def split_and_scale(df: DataFrame, key: str = fv.ENTITY_KEY, year: str = fv.YEAR
     """(key, year, split, label, features) with the scaler's one-row parameters.
 
     ``fit_on='train'`` keeps later years out of the scaler; ``'all'`` fits on every row.
+    Fitting and applying are two passes: the features are stored in between, so
+    that the events behind them are read and aggregated only once.
     """
     present = [c for c in features if c in df.columns]
     rows = cleaning.temporal_split(df, F.col(year), splits).withColumn(target, as_target(F.col(target)))
+    rows = cut_lineage(rows.select(key, year, "split", target, *present), "features")
     where = None if fit_on == "all" else F.col("split") == fit_on
     return prepare_training(rows, present, [c for c in scaled if c in present], [key, year, "split", target], where)
 

@@ -94,6 +94,16 @@ def test_curve_and_sweep_agree_with_counting(scored):
         assert s["fn"] == sum(r[1] == 1 and r[2] < s["threshold"] for r in mine)
 
 
+def test_grouped_curve_keeps_the_null_group(scored):
+    df, rows = scored
+    curve = ev.pr_curve(df, "y", "p", ["g"]).collect()
+    for g in ("a", None):
+        mine = [r for r in rows if r[3] == g]
+        assert sum(c["g"] == g for c in curve) == len({r[2] for r in mine})
+        top = max((c for c in curve if c["g"] == g), key=lambda c: c["tp"] + c["fp"])
+        assert (top["tp"], top["fp"], top["fn"]) == (sum(r[1] for r in mine), sum(1 - r[1] for r in mine), 0)
+
+
 def test_chosen_thresholds(scored):
     df, rows = scored
     curve = ev.pr_curve(df, "y", "p")
