@@ -11,7 +11,8 @@ from leadtime.functions.numeric import add_all, clip, flag, safe_numeric
 
 def code_flag(value: Column, true_codes: Sequence[float] = (1,)) -> Column:
     """1 where the code is one of ``true_codes``; missing and other codes are 0."""
-    return flag(safe_numeric(value, None).isin([float(c) for c in true_codes]))
+    # NaN and infinity equal no code, so the plain cast is enough
+    return flag(value.try_cast("double").isin([float(c) for c in true_codes]))
 
 
 def clip_flag(value: Column) -> Column:

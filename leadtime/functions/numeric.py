@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
 
 def safe_numeric(value: Column | str, fill: float | None = 0.0) -> Column:
@@ -24,13 +25,15 @@ def safe_columns(df: DataFrame, names: Sequence[str], default: float = 0.0) -> d
 
     Whole-number columns can be neither NaN nor infinite, so only their NULLs are filled.
     """
-    types = dict(df.dtypes)
+    fields = {f.name: f for f in df.schema.fields}
     out = {}
     for name in names:
-        if name not in types:
+        field = fields.get(name)
+        if field is None:
             out[name] = F.lit(float(default))
-        elif types[name] in ("tinyint", "smallint", "int", "bigint"):
-            out[name] = F.expr(f"coalesce(CAST(`{name}` AS DOUBLE), {float(default)!r}D)")
+        elif isinstance(field.dataType, IntegralType):
+            number = f"CAST(`{name}` AS DOUBLE)"
+            out[name] = F.expr(f"coalesce({number}, {float(default)!r}D)" if field.nullable else number)
         else:
             out[name] = safe_numeric(name, default)
     return out

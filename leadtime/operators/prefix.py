@@ -15,17 +15,21 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 
+def _count_and_bounds(df: DataFrame, column: str, buckets: int | None = None) -> tuple[int, list[float]]:
+    n = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = min(max(n, 2), 4096)
+    row = df.agg(F.count(column).alias("n"),
+                 F.percentile_approx(F.col(column).cast("double"), [i / n for i in range(1, n)], 10 * n).alias("b")).first()
+    return row["n"], sorted(set(row["b"] or []))
+
+
 def quantile_bounds(df: DataFrame, column: str, buckets: int | None = None) -> list[float]:
     """Increasing bounds that cut the column into about equally filled buckets.
 
     One pass over one column; at most ``buckets`` numbers reach the driver. They
     only steer the distribution of work: results are the same for any bounds.
     """
-    n = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n = min(max(n, 2), 4096)
-    row = df.agg(F.percentile_approx(F.col(column).cast("double"), [i / n for i in range(1, n)], 10 * n)
-                 .alias("b")).first()
-    return sorted(set(row["b"] or []))
+    return _count_and_bounds(df, column, buckets)[1]
 
 
 def with_bucket(df: DataFrame, column: str, bounds: Sequence[float], name: str = "_bucket") -> DataFrame:
@@ -65,20 +69,21 @@ def add_before(df: DataFrame, sums: dict[str, str], order: Sequence[str], bucket
     return joined.withColumns({n: F.col(n) + F.col(f"_s_{n}") for n in sums}).drop("_g", *[f"_s_{n}" for n in sums])
 
 
-def exact_quantile(df: DataFrame, column: str, q: float = 0.5, name: str = "value",
-                   bounds: Sequence[float] | None = None) -> DataFrame:
+def exact_quantile(df: DataFrame, column: str, q: float = 0.5, name: str = "value", in_memory: int = 100_000) -> DataFrame:
     """The interpolated quantile as a one-row table, exact at any size.
 
-    Equal values collapse first; then only the rows around the wanted rank are kept.
+    The built-in exact percentile holds all distinct values of a column in one
+    buffer, so it is used up to a checked number of rows only. Beyond that equal
+    values collapse, and only the rows around the wanted rank are kept.
     """
     valued = df.select(F.col(column).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    if bounds is None:
-        bounds = quantile_bounds(valued, "_v")
+    n, bounds = _count_and_bounds(valued, "_v")
+    if n <= in_memory:
+        return valued.agg(F.percentile("_v", q).alias(name))
     counted = with_bucket(valued.groupBy("_v").agg(F.count("*").alias("_n")), "_v", bounds)
-    ranked = add_before(counted, {"_before": "_n"}, ["_v"])
-    total = counted.agg(F.sum("_n").alias("_all")).scalar()
+    ranked = add_before(counted, {"_before": "_n"}, ["_v"], totals={"_all": "_n"})
     spot = F.col("_spot")
-    near = (ranked.withColumn("_spot", (total - F.lit(1)) * F.lit(float(q)))
+    near = (ranked.withColumn("_spot", (F.col("_all") - F.lit(1)) * F.lit(float(q)))
             .where((F.col("_before") <= F.ceil(spot)) & (F.col("_before") + F.col("_n") > F.floor(spot))))
     picked = near.agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.max("_spot").alias("_spot"))
     return picked.select((F.col("_low") + (F.col("_high") - F.col("_low")) * (spot - F.floor(spot))).alias(name))

@@ -13,6 +13,7 @@ from leadtime.operators import registry as reg
 from leadtime.plans.bindings import Tables
 from leadtime.plans.catalog import query
 from leadtime.plans.catalog import sql as q
+from leadtime.session import cut_lineage
 
 _VERSION = "CAST(substr(source, 4) AS INTEGER)"
 _VERSIONS = f"""versions AS (SELECT lang AS model, {_VERSION} AS version, count(*) AS n_docs, max(doc_id) AS run_id,
@@ -41,7 +42,8 @@ champ AS (SELECT * FROM metrics WHERE version = 3)"""
 def version_metrics(t: Tables):
     rows = t.predictions.withColumn("version", F.substring("source", 4, 9).cast("int"))
     m = ev.validation_metrics(rows, "label", "p_src", ["version"])
-    return m.withColumn("model", F.lit("risk"))
+    # one row per version, read as candidates and as champion
+    return cut_lineage(m.withColumn("model", F.lit("risk")), "metrics")
 
 
 @query("r4_promotion_decision", f"""

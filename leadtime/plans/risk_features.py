@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from leadtime import fixed_values as fv
 from leadtime.functions.dates import year_start
-from leadtime.functions.flags import clip_flag, code_flag
+from leadtime.functions.flags import code_flag
 from leadtime.functions.numeric import as_target, clip, column_or, right_closed_bin, right_closed_ordinal, safe_columns, safe_numeric
 from leadtime.operators import cleaning, composites, point_in_time as pit
 from leadtime.operators.prefix import exact_quantile
@@ -83,11 +83,12 @@ def full_features(entities: DataFrame, sources: Sequence[pit.Source], years: Seq
                                        "NB_PRESCRIPTIONS"], "IS_NEW_PATIENT")
     df = composites.smoothed_ratios(df, {"RATIO_RX_OP_12M": ("NB_RX_12M", "NB_OP_12M"),
                                          "RATIO_CAR_OP_12M": ("NB_CAR_12M", "NB_OP_12M")})
-    df = df.withColumns({c: clip_flag(F.col(c)) if c in df.columns else F.lit(0) for c in weights})
+    codes = safe_columns(df, list(weights))
+    df = df.withColumns({c: clip(v.cast("int"), 0, 1) for c, v in codes.items()})
     df = composites.condition_burden(df, weights, "NB_COMORBIDITES", "CHARLSON_INDEX")
     df = composites.cost_rollup(df, cost_marks, "COUT_BENEFICIARY_ANNUEL")
-    df = composites.sum_of(df, ["COUT_HOSP_PASSE", "COUT_OP_PASSE", "COUT_CAR_PASSE"], "COUT_CLAIMS_PASSE")
-    df = composites.sum_of(df, ["COUT_BENEFICIARY_ANNUEL", "COUT_CLAIMS_PASSE"], "COUT_TOTAL")
+    df = composites.sum_of(df, ["COUT_HOSP_PASSE", "COUT_OP_PASSE", "COUT_CAR_PASSE"], "COUT_CLAIMS_PASSE", clean=True)
+    df = composites.sum_of(df, ["COUT_BENEFICIARY_ANNUEL", "COUT_CLAIMS_PASSE"], "COUT_TOTAL", clean=True)
     if "AGE" in df.columns:
         # the median of the entity table itself: the joined features do not change the ages
         age = safe_numeric("AGE", None)
