@@ -134,6 +134,11 @@ def p10(t: Tables):
     return op.normalise_key(t.customer.select("c_custkey", "c_acctbal"), "c_custkey")
 
 
+@query("p11_to_text", "SELECT c_custkey::VARCHAR AS c_custkey, c_nationkey::VARCHAR AS c_nationkey, c_mktsegment FROM customer")
+def p11(t: Tables):
+    return op.to_text(t.customer.select("c_custkey", "c_nationkey", "c_mktsegment"), ["c_custkey", "c_nationkey"])
+
+
 @query("p12_keep_first", """
 SELECT user_id, day, event_id, event_type FROM (
   SELECT user_id, ts::DATE::VARCHAR AS day, event_id, event_type,
@@ -187,6 +192,13 @@ def p20(t: Tables):
     return op.coerce_prefixed(t.events.select("event_id", "event_type", "user_id"), ["event_t"])
 
 
+@query("p21_required_tables", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1")
+def p21(t: Tables):
+    op.require_tables({"orders": t.orders, "customer": t.customer},
+                      {"orders": ["o_orderkey", "o_custkey", "o_orderdate"], "customer": ["c_custkey"]})
+    return op.require_columns(t.orders, ["o_orderstatus"], "orders").groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+
+
 @query("p22_age", """
 WITH first_seen AS (SELECT o_custkey AS entity, min(o_orderdate)::DATE AS born FROM orders GROUP BY 1),
 aged AS (SELECT c_custkey AS entity, CASE WHEN born < DATE '1996-01-01'

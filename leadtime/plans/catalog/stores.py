@@ -82,7 +82,7 @@ def yearly_report(t: Tables, year: int):
 _YEARS = (1996, 1997)
 
 
-@query("s12_report_history", "WITH y(run) AS (VALUES " + ", ".join(f"('{y}')" for y in _YEARS) + """),
+_HISTORY = "WITH y(run) AS (VALUES " + ", ".join(f"('{y}')" for y in _YEARS) + """),
 b AS (SELECT run, min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM y JOIN orders
   ON year(o_orderdate) IN (1995, run::INTEGER) GROUP BY 1),
 h AS (SELECT run, """ + " + ".join(f"(o_totalprice >= lo + {i}.0 * ((hi - lo) / 10.0))::INTEGER" for i in range(1, 10)) + """ AS bin,
@@ -90,7 +90,37 @@ h AS (SELECT run, """ + " + ".join(f"(o_totalprice >= lo + {i}.0 * ((hi - lo) /
   FROM b JOIN orders ON year(o_orderdate) IN (1995, run::INTEGER) GROUP BY 1, 2),
 s AS (SELECT run, least(greatest(n_ref / sum(n_ref) OVER w, 0.0001), 1.0) AS e, least(greatest(n_cur / sum(n_cur) OVER w, 0.0001), 1.0) AS a
   FROM h WINDOW w AS (PARTITION BY run))
-SELECT run, 1::BIGINT AS n_features, round(sum((a - e) * ln(a / e)), 4) AS max_psi FROM s GROUP BY 1""")
+SELECT run, 1::BIGINT AS n_features, round(sum((a - e) * ln(a / e)), 4) AS max_psi FROM s GROUP BY 1"""
+
+
+@query("s11_report_sink", f"SELECT * FROM ({_HISTORY}) WHERE run = '1997'")
+def s11(t: Tables):
+    path = scratch_path(t.spark, "report")
+    for year in _YEARS:  # the second report replaces the first
+        reports.write_report(yearly_report(t, year), path)
+    return reports.read_report(t.spark, path, _REPORT).select("run", "n_features", "max_psi")
+
+
+@query("s13_absent_report", "SELECT count(*) AS n_orders, true AS retrain, 'no production model available' AS reasons FROM orders")
+def s13(t: Tables):
+    schema = "model_available boolean, recall double"
+    absent = reports.read_report(t.spark, scratch_path(t.spark, "nothing"), schema, {"model_available": False})
+    none = reports.read_report(t.spark, scratch_path(t.spark, "nothing"), "drift_detected boolean, n_drifted bigint, max_psi double",
+                               {"drift_detected": False})
+    n = t.orders.agg(F.count("*").alias("n")).scalar()
+    return drift.retrain_decision(none, absent).select(n.alias("n_orders"), "retrain", F.concat_ws("|", "reasons").alias("reasons"))
+
+
+@query("s14_report_archive", _HISTORY)
+def s14(t: Tables):
+    path = scratch_path(t.spark, "archive")
+    for year in _YEARS:
+        reports.archive_report(yearly_report(t, year).drop("run"), path, str(year))
+    stored = t.spark.read.schema(_REPORT).json(path)  # the run label is the directory
+    return stored.select(F.col("run").cast("string").alias("run"), "n_features", "max_psi")
+
+
+@query("s12_report_history", _HISTORY)
 def s12(t: Tables):
     path = scratch_path(t.spark, "history")
     for year in _YEARS:

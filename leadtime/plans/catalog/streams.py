@@ -82,12 +82,23 @@ def t2_stream(t: Tables):
     return complete_result(t2_of(event_stream(t)))
 
 
-@query("t3_error_rate", f"WITH {q.REQ} SELECT {bucket(60)}, count(*) AS n, count(*) FILTER (WHERE status >= 500) AS n_errors, "
+_T3 = (f"WITH {q.REQ} SELECT {bucket(60)}, count(*) AS n, count(*) FILTER (WHERE status >= 500) AS n_errors, "
        "round(count(*) FILTER (WHERE status >= 500) / 3600.0, 6)::DOUBLE AS errors_per_second, "
        "round(count(*) FILTER (WHERE status >= 500) / count(*), 6)::DOUBLE AS error_share FROM req GROUP BY 1")
+
+
+def t3_of(events):
+    return rounded(stamp(mon.error_rate(events, "ts", "status", length="1 hour")), "errors_per_second", "error_share")
+
+
+@query("t3_error_rate", _T3)
 def t3(t: Tables):
-    df = mon.error_rate(mon.timed(t.requests, "ts"), "ts", "status", length="1 hour")
-    return rounded(stamp(df), "errors_per_second", "error_share")
+    return t3_of(mon.timed(t.requests, "ts"))
+
+
+@query("t3_error_rate_stream", _T3)
+def t3_stream(t: Tables):
+    return complete_result(t3_of(event_stream(t)))
 
 
 def t4_of(events):
@@ -104,17 +115,46 @@ def t4(t: Tables):
     return t4_of(mon.timed(t.requests, "ts"))
 
 
-@query("t5_assignment_rate", f"WITH {q.REQ} SELECT {bucket(60)}, {_ROUTE} AS role, count(*) AS n, "
+@query("t4_risk_band_rate_stream", _T4)
+def t4_stream(t: Tables):
+    return complete_result(t4_of(event_stream(t)))
+
+
+_T5 = (f"WITH {q.REQ} SELECT {bucket(60)}, {_ROUTE} AS role, count(*) AS n, "
        "round(count(*) / 3600.0, 6)::DOUBLE AS per_second FROM req GROUP BY 1, 2")
-def t5(t: Tables):
-    routed = mon.timed(t.requests, "ts").withColumn("role", scoring.route(["user_id"]))
+
+
+def t5_of(events):
+    routed = events.withColumn("role", scoring.route(["user_id"]))
     return rounded(stamp(mon.label_counts(routed, "ts", ["role"], "1 hour")), "per_second")
 
 
-@query("t6_mean_latency", f"WITH {q.REQ} SELECT {bucket(5)}, count(*) AS n, round(avg(latency_s) * 1000, 6)::DOUBLE AS mean_ms "
+@query("t5_assignment_rate", _T5)
+def t5(t: Tables):
+    return t5_of(mon.timed(t.requests, "ts"))
+
+
+@query("t5_assignment_rate_stream", _T5)
+def t5_stream(t: Tables):
+    return complete_result(t5_of(event_stream(t)))
+
+
+_T6 = (f"WITH {q.REQ} SELECT {bucket(5)}, count(*) AS n, round(avg(latency_s) * 1000, 6)::DOUBLE AS mean_ms "
        "FROM req GROUP BY 1")
+
+
+def t6_of(events):
+    return rounded(stamp(mon.mean_latency(events, "ts", "latency_s")), "mean_ms")
+
+
+@query("t6_mean_latency", _T6)
 def t6(t: Tables):
-    return rounded(stamp(mon.mean_latency(mon.timed(t.requests, "ts"), "ts", "latency_s")), "mean_ms")
+    return t6_of(mon.timed(t.requests, "ts"))
+
+
+@query("t6_mean_latency_stream", _T6)
+def t6_stream(t: Tables):
+    return complete_result(t6_of(event_stream(t)))
 
 
 _T7 = (f"WITH {q.REQ}, r AS (SELECT *, row_number() OVER (PARTITION BY endpoint ORDER BY ts DESC, score DESC) AS rn FROM req) "
@@ -130,6 +170,11 @@ def t7(t: Tables):
     return t7_of(mon.timed(t.requests, "ts"))
 
 
+@query("t7_latest_gauge_stream", _T7)
+def t7_stream(t: Tables):
+    return complete_result(t7_of(event_stream(t)))
+
+
 _T8 = f"WITH {q.REQ} SELECT endpoint, count(*) AS n_requests, count(*) FILTER (WHERE status >= 500) AS n_errors FROM req GROUP BY 1"
 
 
