@@ -76,11 +76,12 @@ WITH {q.PRED}, {q.CURVE}, want(target) AS (VALUES {", ".join(f"({x}::DOUBLE)" fo
 r AS (SELECT target, c.*, row_number() OVER (PARTITION BY target ORDER BY recall DESC, threshold DESC) AS rn
   FROM want JOIN curve c ON precision >= target AND predicted_positive >= 50)
 SELECT want.target, rn IS NOT NULL AS achievable, threshold, round(precision, 6)::DOUBLE AS precision,
-  round(recall, 6)::DOUBLE AS recall, predicted_positive::BIGINT AS predicted_positive
+  round(recall, 6)::DOUBLE AS recall, coalesce(predicted_positive, 0)::BIGINT AS predicted_positive
 FROM want LEFT JOIN r ON want.target = r.target AND rn = 1""")
 def e8(t: Tables):
     curve = ev.pr_curve(t.predictions, "label", "p_len")
-    return rounded(ev.thresholds_for_precision(curve, fv.PRECISION_TARGETS), "precision", "recall")
+    found = ev.thresholds_for_precision(curve, fv.PRECISION_TARGETS).fillna(0, ["predicted_positive"])
+    return rounded(found, "precision", "recall")
 
 
 @query("e9_best_f_beta", f"""

@@ -127,7 +127,7 @@ def w4(t: Tables):
     return reg.beyond_last(versions(t)).select("model", "version", "age_rank", "beyond")
 
 
-@query("w5_previous_version", f"WITH {_VERSIONS} SELECT model, version, lag(version) OVER (PARTITION BY model ORDER BY version) "
+@query("w5_previous_version", f"WITH {_VERSIONS} SELECT model, version, coalesce(lag(version) OVER (PARTITION BY model ORDER BY version), -1) "
        "AS previous_version FROM versions")
 def w5(t: Tables):
-    return reg.with_previous_version(versions(t)).select("model", "version", "previous_version")
+    return reg.with_previous_version(versions(t)).select("model", "version", "previous_version").fillna(-1)

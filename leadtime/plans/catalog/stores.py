@@ -54,14 +54,14 @@ def s9(t: Tables):
 
 
 @query("k4_version_records", """
-SELECT 1 AS version, NULL::INTEGER AS previous_version, count(*) AS n_rows, 2 AS n_columns FROM orders WHERE o_orderstatus = 'F'
+SELECT 1 AS version, -1 AS previous_version, count(*) AS n_rows, 2 AS n_columns FROM orders WHERE o_orderstatus = 'F'
 UNION ALL SELECT 2, 1, count(*), 2 FROM orders WHERE o_orderstatus = 'O'""")
 def k4(t: Tables):
     table = FeatureTable(t.spark, scratch_path(t.spark, "features"))
     for status in ("F", "O"):
         rows = t.orders.where(F.col("o_orderstatus") == status).select("o_orderkey", "o_totalprice")
         table.save(rows, fit_scaler(rows, ["o_totalprice"]))
-    return table.versions().select("version", "previous_version", "n_rows", "n_columns")
+    return table.versions().select("version", "previous_version", "n_rows", "n_columns").fillna(-1)
 
 
 _REPORT = "run string, n_features bigint, n_drifted bigint, max_psi double, drift_severity string"

@@ -18,7 +18,7 @@ from leadtime.sources.tables import read_entity_years, read_event_tables, read_s
 
 def test_yearly_csv_files(spark, tmp_path):
     for year in (2008, 2009):
-        (tmp_path / f"DE1_0_{year}_Summary.csv").write_text(f"id,x\na,{year - 2000}\nb,\n")
+        (tmp_path / f"summary_{year}_part.csv").write_text(f"id,x\na,{year - 2000}\nb,\n")
     got = read_entity_years(spark, str(tmp_path), "id string, x int", "year").orderBy("year", "id").collect()
     assert [(r["id"], r["x"], r["year"]) for r in got] == [("a", 8, 2008), ("b", None, 2008), ("a", 9, 2009), ("b", None, 2009)]
 
