@@ -6,8 +6,6 @@ from pyspark.sql import Column, functions as F
 
 from leadtime.fixed_values import DAYS_PER_YEAR
 
-MICROS_PER_DAY = 86_400_000_000
-
 
 def parse_yyyymmdd(value: Column, dtype: str | None = None) -> Column:
     """``20100312``, ``'20100312'``, ``'20100312.0'`` or a double -> DATE; anything else NULL.
@@ -41,10 +39,9 @@ def in_forward(ts: Column, obs: Column, months: int) -> Column:
 
 
 def whole_days(ts: Column, obs: Column) -> Column:
-    """Full days from ``ts`` to midnight of ``obs``, rounded down."""
-    obs_us = F.unix_micros(obs.cast("timestamp"))
-    ts_us = F.unix_micros(ts.cast("timestamp"))
-    return F.floor((obs_us - ts_us) / F.lit(MICROS_PER_DAY))
+    """Full days from ``ts`` to midnight of ``obs``, rounded down; calendar days, so no time zone matters."""
+    day = F.to_date(ts)
+    return (F.datediff(obs, day) - (ts > day).cast("int")).cast("bigint")
 
 
 def age_years(birth: Column, obs: Column) -> Column:
