@@ -38,7 +38,8 @@ def with_bucket(df: DataFrame, column: str, bounds: Sequence[float], name: str =
         return df.withColumn(name, F.lit(0))
     splits = [float("-inf"), *bounds, float("inf")]
     out = Bucketizer(splits=splits, inputCol=column, outputCol=name, handleInvalid="keep").transform(df)
-    return out.withColumn(name, F.col(name).cast("int"))
+    # never NULL: otherwise Spark adds a not-null filter to one reader only, and the rows would be computed twice
+    return out.withColumn(name, F.coalesce(F.col(name).cast("int"), F.lit(-1)))
 
 
 def add_before(df: DataFrame, sums: dict[str, str], order: Sequence[str], bucket: str = "_bucket",

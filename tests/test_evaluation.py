@@ -94,6 +94,15 @@ def test_curve_and_sweep_agree_with_counting(scored):
         assert s["fn"] == sum(r[1] == 1 and r[2] < s["threshold"] for r in mine)
 
 
+def test_curve_aggregates_the_scores_once(spark, scored, tmp_path):
+    scored[0].write.parquet(str(tmp_path / "p"))
+    curve = ev.pr_curve(spark.read.parquet(str(tmp_path / "p")), "y", "p")
+    curve.collect()
+    plan = curve._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
 def test_grouped_curve_keeps_the_null_group(scored):
     df, rows = scored
     curve = ev.pr_curve(df, "y", "p", ["g"]).collect()
