@@ -20,6 +20,8 @@ from leadtime.llm.common import words
 BITS = 18
 #: Bounds of the fit: labelled documents, documents of a learner, passes over them.
 SAMPLE, PER_LEARNER, PASSES = 24_000, 4_000, 3
+#: Words turned into vectors at once (one longer text is taken whole).
+SLICE = 300_000
 ALPHA, BETA, L1, L2 = 0.6, 1.0, 1e-4, 1e-4
 
 
@@ -113,10 +115,15 @@ def score(docs: DataFrame, weights: np.ndarray, key: str = "doc_id", text: str =
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = held.value
-        for batch in it:
-            at, x, owner = sparse_rows(*_flat(batch.column(1)), *_flat(batch.column(2)))
-            odds = np.bincount(owner, w[at] * x, batch.num_rows) + w[-1]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(odds, -35, 35))))], ["key", "score"])
+        for whole in it:
+            ends = np.asarray(whole.column(1).offsets)
+            cuts = np.unique(np.searchsorted(ends, np.arange(ends[0], ends[-1], SLICE)))  # rows at which another SLICE words begin
+            for first, end in zip([0, *cuts], [*cuts, whole.num_rows]):
+                if end > first:
+                    batch = whole.slice(first, end - first)
+                    at, x, owner = sparse_rows(*_flat(batch.column(1)), *_flat(batch.column(2)))
+                    odds = np.bincount(owner, w[at] * x, batch.num_rows) + w[-1]
+                    yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(odds, -35, 35))))], ["key", "score"])
 
     return docs.select(F.col(key).alias("key"), *hashed(F.col(text))).mapInArrow(batches, f"key {kind}, score double").withColumnRenamed("key", key)
 
