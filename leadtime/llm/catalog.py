@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadtime.llm import bpe, line_dedup, mixing, ngram_join, quality_classifier, quality_rules, sharding, vptree, warc
+from leadtime.llm import bpe, line_dedup, mixing, ngram_join, quality_classifier, quality_rules, sharding, suffix_dedup, vptree, warc
 from leadtime.llm.common import cut_lineage, read, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read(spark, sf_dir, "documents"), tokenizer(), ids=False)
 
 
+@query("op3_suffix_array_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.repeated_passages(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("first").alias("first_word"), F.col("end").alias("end_word"), "copies")
+
+
 @query("op4_nearest_neighbours")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(read(spark, sf_dir, "embeddings"), every=20, k=20, factor=4.0)

@@ -127,3 +127,13 @@ def clean_lines(docs: dict, percent=85, apart=3, least=5) -> dict:
             kept.append(line)
         out[i] = (total, dropped, None if t is None else "\n".join(kept))
     return out
+
+
+def repeated_words(docs: dict, least=50) -> dict:
+    """{key: places of words inside a window of ``least`` words that the corpus holds twice or more}"""
+    spoken = {i: WORD.findall(t or "") for i, t in docs.items()}
+    seen = Counter(tuple(w[j:j + least]) for w in spoken.values() for j in range(len(w) - least + 1))
+    out = {}
+    for i, w in spoken.items():
+        out[i] = {p for j in range(len(w) - least + 1) if seen[tuple(w[j:j + least])] > 1 for p in range(j, j + least)}
+    return out
