@@ -21,7 +21,7 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
 
-from leadtime.llm.common import scratch_path
+from leadtime.llm.common import cut_lineage, scratch_path
 from leadtime.llm.files import write_whole
 
 #: How the tokenizer cuts a text into words (a fixed pattern of its file format). The JVM form only counts words for the lexicon.
@@ -243,10 +243,21 @@ class Encoder:
 
 
 def frequent_words(docs: DataFrame, text: str = "text", n: int = LEXICON_WORDS) -> list[str]:
-    """The ``n`` most frequent words of all texts; only they reach the driver."""
+    """The most frequent words of all texts, ``n`` at most: those at least as frequent as a threshold.
+
+    A histogram of counts gives the threshold, so that no more than ``n`` words
+    leave the executors, however many partitions there are.
+    """
     cut = docs.select(F.explode(F.regexp_extract_all(F.col(text), F.lit(JVM_PATTERN), F.lit(0))).alias("word"))
-    counted = cut.groupBy("word").count().where("count > 1")
-    return [r["word"] for r in counted.orderBy(F.desc("count"), "word").limit(n).collect()]
+    counted = cut_lineage(cut.groupBy("word").count().where("count > 1"), "word-counts")
+    step = F.floor(F.log2("count") * 16)
+    total, least = 0, None
+    for r in counted.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.min("count").alias("least")).orderBy(F.desc("step")).collect():
+        total += r["words"]
+        if total > n:
+            break
+        least = r["least"]
+    return [] if least is None else [r["word"] for r in counted.where(F.col("count") >= least).select("word").collect()]
 
 
 def build_lexicon(docs: DataFrame, rules: Rules, text: str = "text", n: int = LEXICON_WORDS) -> str:
