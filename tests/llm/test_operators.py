@@ -186,6 +186,13 @@ def test_lines_equal_brute_force(spark):
     assert got == brute.clean_lines(docs)
 
 
+def test_counters_of_either_width_give_one_simhash(spark):
+    rows = [(i, " ".join("w" + "abcdefghij"[j * j % (i + 7) % 10] * (i % 3 + 1) for j in range(i * 9 + 1)) + " \n... ---\n") for i in range(60)]
+    lines = line_dedup.split_lines(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    narrow, wide = ({tuple(r) for r in line_dedup.hashed(lines, n).collect()} for n in (line_dedup.NARROW, line_dedup.WIDE))
+    assert narrow == wide and len(narrow) == 120 and len({r[-1] for r in narrow if r[5] > 0}) > 30
+
+
 def test_repeated_passages_equal_brute_force(spark):
     rng = np.random.default_rng(4)
     own = lambda n: [f"o{x}" for x in rng.integers(0, 10 ** 9, n)]
