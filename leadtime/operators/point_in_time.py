@@ -333,16 +333,16 @@ def without_history(cohort: DataFrame, events: DataFrame, key: str, time: str, o
 def rolling_counts(events: DataFrame, key: str, time: str, days: int, name: str) -> DataFrame:
     """Per entity and moment: events of the entity in the ``days`` before it, that moment excluded.
 
-    Events of the same second collapse first. A heavy entity is then split into
+    Events of the same moment (to the microsecond) collapse first. A heavy entity is then split into
     time slices as long as the window; a slice also sees a copy of the slice
     before it, so no task has to hold a whole entity.
     """
-    span = days * 86400
+    span = days * 86400 * 1_000_000
     moments = (events.where(F.col(time).isNotNull())
-               .groupBy(key, F.unix_seconds(F.col(time).cast("timestamp")).alias("_sec"))
+               .groupBy(key, F.unix_micros(F.col(time).cast("timestamp")).alias("_at"))
                .agg(F.count("*").alias("n_at")))
     copies = (moments.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1))))
-              .withColumn("_slice", F.floor(F.col("_sec") / span) + F.col("_copy")))
-    w = Window.partitionBy(key, "_slice").orderBy("_sec").rangeBetween(-span, -1)
+              .withColumn("_slice", F.floor(F.col("_at") / span) + F.col("_copy")))
+    w = Window.partitionBy(key, "_slice").orderBy("_at").rangeBetween(-span, -1)
     return (copies.withColumn(name, F.coalesce(F.sum("n_at").over(w), F.lit(0))).where(F.col("_copy") == 0)
-            .select(key, F.timestamp_seconds("_sec").alias(time), "n_at", name))
+            .select(key, F.timestamp_micros("_at").alias(time), "n_at", name))

@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 def _count_and_bounds(df: DataFrame, column: str, buckets: int | None = None) -> tuple[int, list[float]]:
     n = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n = min(max(n, 2), 4096)
+    n = max(n, 2)
     row = df.agg(F.count(column).alias("n"),
                  F.percentile_approx(F.col(column).cast("double"), [i / n for i in range(1, n)], 10 * n).alias("b")).first()
     return row["n"], sorted(set(row["b"] or []))
@@ -70,17 +70,14 @@ def add_before(df: DataFrame, sums: dict[str, str], order: Sequence[str], bucket
     return joined.withColumns({n: F.col(n) + F.col(f"_s_{n}") for n in sums}).drop("_g", *[f"_s_{n}" for n in sums])
 
 
-def exact_quantile(df: DataFrame, column: str, q: float = 0.5, name: str = "value", in_memory: int = 100_000) -> DataFrame:
+def exact_quantile(df: DataFrame, column: str, q: float = 0.5, name: str = "value") -> DataFrame:
     """The interpolated quantile as a one-row table, exact at any size.
 
     The built-in exact percentile holds all distinct values of a column in one
-    buffer, so it is used up to a checked number of rows only. Beyond that equal
-    values collapse, and only the rows around the wanted rank are kept.
+    buffer. Here equal values collapse, and only the rows around the wanted rank are kept.
     """
     valued = df.select(F.col(column).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    n, bounds = _count_and_bounds(valued, "_v")
-    if n <= in_memory:
-        return valued.agg(F.percentile("_v", q).alias(name))
+    bounds = quantile_bounds(valued, "_v")
     counted = with_bucket(valued.groupBy("_v").agg(F.count("*").alias("_n")), "_v", bounds)
     ranked = add_before(counted, {"_before": "_n"}, ["_v"], totals={"_all": "_n"})
     spot = F.col("_spot")

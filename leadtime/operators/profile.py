@@ -54,10 +54,11 @@ def positive_weights(df: DataFrame, label: str, name: str = "weight") -> DataFra
 def fingerprint(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Row count and a hash sum that does not depend on row order.
 
-    The sum is a decimal: 32-bit hashes of more rows than a BIGINT can add up still fit.
+    Each value is written with its length, so that no two rows share a text. The sum of the 60-bit hashes is a decimal.
     """
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns])
-    value = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("decimal(12,0)")
+    values = [F.col(c).cast("string") for c in columns]
+    text = F.concat_ws("|", *[F.coalesce(F.concat(F.length(v), F.lit(":"), v), F.lit("~")) for v in values])
+    value = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(20,0)")
     return df.agg(F.count("*").alias("n_rows"),
                   F.coalesce(F.sum(value), F.lit(0)).cast("string").alias("hash_sum"))
 

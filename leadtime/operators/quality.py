@@ -121,8 +121,8 @@ def gate(report: DataFrame) -> DataFrame:
 
 
 def check_target(df: DataFrame, label: str) -> DataFrame:
-    """Nulls, values other than 0 and 1, and whether the positive rate is extreme."""
-    y = F.col(label).try_cast("double")
+    """Nulls (NaN among them), values other than 0 and 1, and whether the positive rate is extreme."""
+    y = F.nanvl(F.col(label).try_cast("double"), F.lit(None).cast("double"))
     rate = F.avg(y)
     low, high = TARGET_RATE_RANGE
     n_null, n_outside = F.count(F.when(y.isNull(), 1)), F.count(F.when(~y.isin(0.0, 1.0), 1))

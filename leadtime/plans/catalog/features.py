@@ -212,8 +212,9 @@ def a11(t: Tables):
     return profile.imbalance_weight(t.labels, "quality").withColumn("weight", F.round("weight", 6))
 
 
-@query("a12_fingerprint", "SELECT count(*) AS n_rows, sum(CAST('0x' || substr(md5(concat_ws('|', l_orderkey, "
-       "l_linenumber, l_returnflag, l_partkey)), 1, 8) AS BIGINT))::VARCHAR AS hash_sum FROM lineitem")
+@query("a12_fingerprint", "SELECT count(*) AS n_rows, sum(CAST('0x' || substr(md5(concat_ws('|', " + ", ".join(
+    f"coalesce(length({c}::VARCHAR) || ':' || {c}, '~')" for c in ("l_orderkey", "l_linenumber", "l_returnflag", "l_partkey"))
+       + ")), 1, 15) AS BIGINT))::VARCHAR AS hash_sum FROM lineitem")
 def a12(t: Tables):
     return profile.fingerprint(t.lineitem, ["l_orderkey", "l_linenumber", "l_returnflag", "l_partkey"])
 

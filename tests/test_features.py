@@ -75,3 +75,12 @@ def test_renal_flag_forms(spark, entities):
 def test_feature_list_is_whole():
     assert len(fv.MODEL_FEATURES) == 28 and len(rf.FULL_FEATURES) == 24
     assert len(fv.REQUEST_FIELDS) == 29 and len(fv.SWEEP_THRESHOLDS) == 23
+
+
+def test_fingerprint_tells_shifted_values_apart(spark):
+    from leadtime.operators.profile import fingerprint
+
+    def of(*row):
+        return fingerprint(spark.createDataFrame([row], "x string, y string"), ["x", "y"]).first()["hash_sum"]
+
+    assert len({of("a|b", "c"), of("a", "b|c"), of("~", None), of(None, "~"), of("", "")}) == 5

@@ -141,3 +141,11 @@ def test_unknown_source_and_missing_amount(frame):
         pit.entity_features(sources(frame), [pit.count_before("zz", "n")], OBS, "id")
     with pytest.raises(ValueError, match="amount"):
         pit.entity_features([pit.Source("s", frame, "id", "ts")], [pit.sum_before("s", "x")], OBS, "id")
+
+
+def test_rolling_counts_below_a_second(spark):
+    at = datetime(2020, 1, 1, 12, 0, 0)
+    moments = [at, at + timedelta(milliseconds=500), at + timedelta(days=1), at + timedelta(days=1, milliseconds=500, microseconds=1)]
+    df = spark.createDataFrame([("a", t) for t in moments], "id string, ts timestamp")
+    got = {r["ts"]: r["n"] for r in pit.rolling_counts(df, "id", "ts", 1, "n").collect()}
+    assert [got[t] for t in moments] == [0, 1, 2, 1]

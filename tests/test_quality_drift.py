@@ -109,3 +109,8 @@ def test_scaler_uses_population_moments(spark):
     assert {r["flat"] for r in out} == {0.0}
     part = fit_scaler(df, ["x"], F.col("i") < 10).first()["x"]
     assert part["mean"] == pytest.approx(sum(xs[:10]) / 10)
+
+
+def test_a_label_that_is_no_number_counts_as_null(spark):
+    r = quality.check_target(spark.createDataFrame([(1.0,), (0.0,), (float("nan"),)], "y double"), "y").first()
+    assert (r["n_null"], r["n_outside"], r["positive_rate"], r["passed"], r["unbalanced"]) == (1, 0, 0.5, False, False)
