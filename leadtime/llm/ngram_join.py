@@ -133,7 +133,8 @@ def linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 
     A set's shingles that no other set of the list has bound its overlap with any, so
     that most loners are never compared. The others are counted against all sets at
-    once over an inverted list, except the members of the largest group, whose links the rest finds.
+    once over an inverted list. Members of the largest group are put off, as the rest finds their links; those
+    that another group has overtaken by the end take their turn then, so that all sets never compared lie in one group.
     """
     sizes = np.array([len(s) for s in sets])
     flat = np.concatenate(sets)
@@ -152,20 +153,26 @@ def linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     starts = np.concatenate([[0], np.cumsum(sizes)])
     edges = []
     todo = np.flatnonzero(alive)
-    for r in todo[np.argsort(sizes[todo] - shared[todo], kind="stable")]:
-        groups = np.bincount(root[alive], minlength=len(sets))
-        if groups.max() > 1 and root[r] == groups.argmax():
-            continue
-        mine = token[starts[r]:starts[r + 1]]
-        mine = mine[common[mine] > 1]
-        n = common[mine]
-        at = np.repeat(begin[mine] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        overlap = np.bincount(holders[at], minlength=len(sets))
-        near = np.flatnonzero(alive & (overlap * 100 >= percent * (sizes[r] + sizes - overlap)) & (root != root[r]))
-        for s in near:
-            if root[s] != root[r]:
-                edges.append((int(r), int(s)))
-                root[root == root[s]] = root[r]
+    todo = todo[np.argsort(sizes[todo] - shared[todo], kind="stable")]
+    while len(todo):
+        put_off = []
+        for r in todo:
+            groups = np.bincount(root[alive], minlength=len(sets))
+            if groups.max() > 1 and root[r] == groups.argmax():
+                put_off.append(r)
+                continue
+            mine = token[starts[r]:starts[r + 1]]
+            mine = mine[common[mine] > 1]
+            n = common[mine]
+            at = np.repeat(begin[mine] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+            overlap = np.bincount(holders[at], minlength=len(sets))
+            near = np.flatnonzero(alive & (overlap * 100 >= percent * (sizes[r] + sizes - overlap)) & (root != root[r]))
+            for s in near:
+                if root[s] != root[r]:
+                    edges.append((int(r), int(s)))
+                    root[root == root[s]] = root[r]
+        largest = np.bincount(root[alive], minlength=len(sets)).argmax()
+        todo = [r for r in put_off if root[r] != largest]
     return edges
 
 

@@ -58,6 +58,15 @@ def test_signatures_of_similar_sets_meet():
                     assert np.intersect1d(ngram_join.signature(a, percent), ngram_join.signature(b, percent)).size
 
 
+def test_links_bridge_groups_that_overtake_each_other():
+    window = lambda at: np.arange(1000 + at, 1100 + at, dtype=np.uint64)
+    # a links b and c, then d links e, f and g; only b and e are near across, and each is put off while its group is the largest
+    for places in ([-25, 0, 50, 25, -50, 75, 74], *np.random.default_rng(6).permuted(np.tile(np.arange(30) * 13, (40, 1)), axis=1)):
+        sets = [window(int(at)) for at in places]
+        near = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 60 * len(np.union1d(sets[i], sets[j]))]
+        assert brute.roots(ngram_join.linked(sets, 60), range(len(sets))) == brute.roots(near, range(len(sets)))
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, i) for i in range(101, 130)] + [(7, 7)]
     got = {(r.node, r.root) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
