@@ -1,14 +1,13 @@
-"""Repeated passages by a sparse suffix array over content-selected positions.
+"""Repeated passages by hashed windows of words, thinned out by content-selected grams.
 
-Of every window of ``span`` successive ``k``-word grams the one with the smallest hash is kept, so that
-two equal passages of span + k - 1 words keep the same position. Only the suffixes
-at these positions are sorted: by the hash of their first k words, then by
-the words that follow. Neighbours in this order are compared, and matches are extended to
-the right and to the left, word by word. A passage that two neighbours share with at least ``least`` words counts as repeated.
+Of every window of ``span`` successive ``k``-word grams the one with the smallest hash stands for the window, so that
+two equal windows of ``least`` words have the same one, at the same place. A window whose gram occurs once
+cannot be repeated; it is left out by a bitmap of fixed size. All others are counted by the hash of their
+words, in an aggregate without pairs: a window is repeated if it occurs twice, whatever stands around it and
+however common its gram is.
 
-Suffixes whose first k words occur once are left out before the sort, by a bitmap of fixed size.
-Every suffix carries ``reach`` words to either side; longer passages are found by
-several suffixes, whose stretches are joined per document.
+Windows that may be repeated are then looked up by their hash in the table of counts, and those of a text are joined
+to stretches. Very common windows are looked up in several parts.
 """
 
 from __future__ import annotations
@@ -24,6 +23,10 @@ from leadtime.llm.common import bits_table, cut_lineage, words
 #: Words of a passage that counts; words of a gram; grams of a window: k + span - 1 words are no more than ``least``.
 LEAST, K, SPAN = 50, 20, 31
 KEY_BITS = 26
+#: Occurrences of a window that are looked up together.
+PART = 2000
+#: Rows of a batch that a task gives back.
+BATCH = 100_000
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -49,8 +52,8 @@ def grams(h: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def minimisers(g: np.ndarray, span: int) -> np.ndarray:
-    """Places of the smallest hash (the first of equal ones) of every window of ``span`` hashes."""
+def window_grams(g: np.ndarray, span: int) -> np.ndarray:
+    """Place of the smallest hash (the first of equal ones) of every window of ``span`` hashes."""
     if len(g) < span:
         return np.empty(0, np.int64)
     best, step = np.arange(len(g)), 1
@@ -59,40 +62,45 @@ def minimisers(g: np.ndarray, span: int) -> np.ndarray:
         a, b = best[:-by], best[by:]
         best = np.where(g[a] <= g[b], a, b)
         step += by
-    return np.unique(best)
+    return best
 
 
-def _matches(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Number of equal leading entries, row by row; -1 entries are ends of texts and equal nothing."""
-    same = (x == y) & (x != -1)
-    return np.where(same.all(1), x.shape[1], np.argmin(same, axis=1))
+def _bitmap(keys: DataFrame, key: str) -> np.ndarray:
+    """A bitmap of hashed keys on the driver: 8 MB for any input."""
+    filled = bits_table(keys, key, KEY_BITS).toArrow()
+    bits = np.zeros(1 << (KEY_BITS - 6), np.int64)
+    bits[filled["_slot"].to_numpy()] = filled["_bits"].to_numpy()
+    return bits.view(np.uint8)
 
 
-def stretches(group: np.ndarray, left: np.ndarray, right: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Words to the left and to the right of each suffix that another suffix of its group shares.
+def _hits(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys & (len(bitmap) * 8 - 1)
+    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
-    Rows come by group. They are put in the order of what follows, and in the order of
-    what precedes; in both, neighbours are compared. (0, 0) where no neighbour shares ``least`` words in all.
-    """
-    best_left, best_right = np.zeros(len(group), np.int64), np.zeros(len(group), np.int64)
-    for view in (np.hstack([right, left]), np.hstack([left, right])):
-        order = np.lexsort((*view.T[::-1], group))
-        for gap in (1, 2, 3):
-            a, b = order[:-gap], order[gap:]
-            both = group[a] == group[b]
-            a, b = a[both], b[both]
-            l, r = _matches(left[a], left[b]), _matches(right[a], right[b])
-            ok = l + r >= least
-            for who in (a[ok], b[ok]):
-                np.maximum.at(best_left, who, l[ok])
-                np.maximum.at(best_right, who, r[ok])
-    return best_left, best_right
+
+def together(pieces: Iterator[list], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The columns of many texts in batches of about ``BATCH`` rows."""
+    held, size = [], 0
+    for piece in pieces:
+        held.append(piece)
+        size += len(piece[0])
+        if size >= BATCH:
+            yield pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in zip(*held)], names)
+            held, size = [], 0
+    if size:
+        yield pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in zip(*held)], names)
+
+
+def joined(at: np.ndarray, n: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, end, largest n) of the stretches that windows of ``least`` words at rising places make up."""
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(at) > least]))
+    return at[starts], at[np.append(starts[1:], len(at)) - 1] + least, np.maximum.reduceat(n, starts)
 
 
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, k: int = K, span: int = SPAN) -> DataFrame:
     """(key, row, first, end, copies): the stretches [first, end) of words of a text that stand elsewhere too, in the same text or another.
 
-    Stretches of one text do not overlap. ``copies`` is the largest number of occurrences of a suffix in
+    Stretches of one text do not overlap. ``copies`` is the largest number of occurrences of a window of ``least`` words in
     the stretch. Words are compared as they are, by 64-bit hashes. NULL, empty and short texts have no stretches;
     repeated rows are copies of each other. ``row`` tells texts with the same key apart. A whole copy of a text is one stretch.
     """
@@ -100,76 +108,70 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
         raise ValueError("windows longer than the passages to find")
     spark = docs.sparkSession
     kind = docs.schema[key].dataType.simpleString()
-    reach = least
-
-    def suffixes(bitmap=None):
-        def make(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            with np.errstate(over="ignore"):
-                for batch in it:
-                    offsets, flat = np.asarray(batch.column(2).offsets), np.asarray(batch.column(2).values)
-                    who, at, names, lefts, rights = [], [], [], [], []
-                    for i in range(batch.num_rows):
-                        h = flat[offsets[i]:offsets[i + 1]]
-                        g = grams(h, k)
-                        places = minimisers(g, span)
-                        hashes = g[places].astype(np.int64)
-                        if bitmap is not None and len(places):
-                            bit = hashes & (len(bitmap.value) * 8 - 1)
-                            hit = (bitmap.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
-                            places, hashes = places[hit], hashes[hit]
-                            short = (h & 0x7FFFFFFF).astype(np.int32)
-                            padded = np.concatenate([np.full(reach, -1, np.int32), short, np.full(reach + k, -1, np.int32)])
-                            start = places + reach
-                            lefts += list(padded[start[:, None] - 1 - np.arange(reach - k)]) if len(places) else []
-                            rights += list(padded[start[:, None] + np.arange(reach)]) if len(places) else []
-                        who += [i] * len(places)
-                        at.append(places)
-                        names.append(hashes)
-                    if not who:
-                        continue
-                    columns = [pa.array(np.concatenate(names)), batch.column(0).take(pa.array(who)), batch.column(1).take(pa.array(who)), pa.array(np.concatenate(at))]
-                    if bitmap is not None:
-                        columns += [pa.array([x.tobytes() for x in lefts], pa.binary()), pa.array([x.tobytes() for x in rights], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, ["g", "key", "row", "at", "l", "r"][:len(columns)])
-
-        hashed = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("row"), F.transform(words(F.col(text)), lambda w: F.xxhash64(w)).alias("h"))
-        return hashed.mapInArrow(make, f"g long, key {kind}, row long, at long" + (", l binary, r binary" if bitmap is not None else ""))
-
-    shared = suffixes().groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
-    filled = bits_table(shared, "g", KEY_BITS).toArrow()
-    bits = np.zeros(1 << (KEY_BITS - 6), np.int64)
-    bits[filled["_slot"].to_numpy()] = filled["_bits"].to_numpy()
-    held = spark.sparkContext.broadcast(bits.view(np.uint8))  # 8 MB for any input
-    found = cut_lineage(suffixes(held), "suffixes")
-    # equal surroundings are one row, however many copies there are; a row of several copies is repeated as a whole
-    distinct = found.groupBy("g", F.xxhash64("l", "r").alias("c")).agg(F.first("l").alias("l"), F.first("r").alias("r"), F.count("*").alias("n"))
-    sorted_rows = distinct.repartition("g").sortWithinPartitions("g", "r")
-
-    def compare(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
-        for batch in it:
-            g, c, count = (np.asarray(batch.column(i)) for i in (0, 1, 4))
-            left = np.array([np.frombuffer(x, np.int32) for x in batch.column(2).to_pylist()])
-            right = np.array([np.frombuffer(x, np.int32) for x in batch.column(3).to_pylist()])
-            if last is not None:  # the rows before, for their neighbours in this batch
-                g, c, count, left, right = (np.concatenate([a, b]) for a, b in zip(last, (g, c, count, left, right)))
-            tail = np.flatnonzero(g == g[-1])[-2000:]
-            l, r = stretches(g, left, right, least)
-            many = count > 1
-            l[many], r[many] = (left[many] != -1).sum(1), (right[many] != -1).sum(1)
-            ok = (l + r >= least)
-            last = tuple(x[tail] for x in (g, c, count, left, right))
-            yield pa.RecordBatch.from_arrays([pa.array(x[ok]) for x in (g, c, l, r, count)], ["g", "c", "l", "r", "n"])
-
-    spans = sorted_rows.select("g", "c", "l", "r", "n").mapInArrow(compare, "g long, c long, l long, r long, n long")
-    best = spans.groupBy("g", "c").agg(F.max("l").alias("left"), F.max("r").alias("right"), F.max("n").alias("n"))
-    hits = (found.select("g", F.xxhash64("l", "r").alias("c"), "key", "row", "at").join(best, ["g", "c"])
-            .select("key", "row", (F.col("at") - F.col("left")).alias("first"), (F.col("at") + F.col("right")).alias("end"), "n").distinct())
-    # stretches of one text are joined inside the row of the text
-    merged = hits.groupBy("key", "row").agg(F.sort_array(F.collect_list(F.struct("first", "end", "n"))).alias("all"))
-    fold = """aggregate(all, cast(array() as array<struct<first:bigint,end:bigint,n:bigint>>), (a, s) ->
-        if(size(a) > 0 and element_at(a, -1).end >= s.first,
-           concat(slice(a, 1, size(a) - 1), array(named_struct('first', element_at(a, -1).first, 'end', greatest(element_at(a, -1).end, s.end), 'n', greatest(element_at(a, -1).n, s.n)))),
-           concat(a, array(s))))"""
-    return merged.select("key", "row", F.explode(F.expr(fold)).alias("s")).select(
-        F.col("key").alias(key), "row", F.col("s.first").alias("first"), F.col("s.end").alias("end"), F.col("s.n").alias("copies"))
+    hashed = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("row"), F.transform(words(F.col(text)), lambda w: F.xxhash64(w)).alias("h"))
+
+    def texts(batch: pa.RecordBatch, column: int) -> Iterator[np.ndarray]:
+        offsets, flat = np.asarray(batch.column(column).offsets), np.asarray(batch.column(column).values)
+        return (flat[a:b] for a, b in zip(offsets[:-1], offsets[1:]))
+
+    def selected(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def each(h):
+            g = grams(h, k)
+            return [pa.array(g[np.unique(window_grams(g, span))].astype(np.int64))]
+
+        with np.errstate(over="ignore"):
+            yield from together((each(h) for batch in it for h in texts(batch, 0)), ["g"])
+
+    def windows(h: np.ndarray, bitmap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and hashes of the windows of a text whose grams may be shared."""
+        g, w = grams(h, k), grams(h, least).astype(np.int64)
+        at = np.flatnonzero(_hits(bitmap, g.astype(np.int64))[window_grams(g, span)[:len(w)]])
+        return at, w[at]
+
+    shared = hashed.select("h").mapInArrow(selected, "g long").groupBy("g").agg(F.count("*").alias("n")).where("n > 1")
+    some_grams = spark.sparkContext.broadcast(_bitmap(shared, "g"))
+
+    def counted(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            yield from together(([pa.array(windows(h, some_grams.value)[1])] for batch in it for h in texts(batch, 0)), ["w"])
+
+    counts = cut_lineage(hashed.select("h").mapInArrow(counted, "w long").groupBy("w").agg(F.count("*").alias("n")).where("n > 1"), "windows")
+    some_windows = spark.sparkContext.broadcast(_bitmap(counts, "w"))
+    parts = F.ceil(F.col("n") / PART).cast("int")
+    common = counts.where(F.col("n") > PART).select("w", parts.alias("parts")).orderBy("w").toArrow()  # one in PART windows at most
+    common = spark.sparkContext.broadcast((common["w"].to_numpy(), common["parts"].to_numpy()))
+
+    def placed(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, sizes = common.value
+
+        def each(batch, i, h):
+            at, w = windows(h, some_grams.value)
+            hit = _hits(some_windows.value, w)
+            at, w = at[hit], w[hit]
+            part = np.zeros(len(w), np.int32)
+            if len(names):
+                spot = np.minimum(np.searchsorted(names, w), len(names) - 1)
+                many = names[spot] == w
+                part[many] = ((batch.column(1)[i].as_py() & 0x7FFFFFFF) + at[many] + i) % sizes[spot[many]]
+            who = pa.array(np.full(len(w), i))
+            return [pa.array(w), pa.array(part), batch.column(0).take(who), batch.column(1).take(who), pa.array(at)]
+
+        with np.errstate(over="ignore"):
+            yield from together((each(batch, i, h) for batch in it for i, h in enumerate(texts(batch, 2))), ["w", "part", "key", "row", "at"])
+
+    found = hashed.mapInArrow(placed, f"w long, part int, key {kind}, row long, at long")
+    looked_up = counts.select("w", "n", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    # a place and its count in one long; repeated rows fall together before the shuffle
+    packed = F.shiftleft("at", 31).bitwiseOR(F.least("n", F.lit((1 << 31) - 1)))
+    gathered = found.join(looked_up, ["w", "part"]).groupBy("key", "row").agg(F.collect_set(packed).alias("all"))
+
+    def merge(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def each(batch, i, x):
+            x = np.sort(x)
+            first, end, n = joined(x >> 31, x & ((1 << 31) - 1), least)
+            who = pa.array(np.full(len(first), i))
+            return [batch.column(0).take(who), batch.column(1).take(who), *(pa.array(c) for c in (first, end, n))]
+
+        yield from together((each(batch, i, x) for batch in it for i, x in enumerate(texts(batch, 2))), ["key", "row", "first", "end", "copies"])
+
+    return gathered.mapInArrow(merge, f"key {kind}, row long, first long, end long, copies long").withColumnRenamed("key", key)

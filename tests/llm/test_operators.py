@@ -214,6 +214,37 @@ def test_repeated_passages_equal_brute_force(spark):
     assert got == brute.repeated_words(docs)
 
 
+def common_gram(rng):
+    """Twenty words whose hash is small, so that they stand for any window around them."""
+    import xxhash
+
+    own = lambda: [f"c{x}" for x in rng.integers(0, 10 ** 9, 20)]
+    with np.errstate(over="ignore"):
+        return min((own() for _ in range(5_000)), key=lambda w: int(suffix_dedup.grams(np.array([xxhash.xxh64_intdigest(x.encode(), seed=42) for x in w], np.uint64), 20)[0]))
+
+
+def repeated_words(spark, docs):
+    got = {i: set() for i in docs}
+    for r in suffix_dedup.repeated_passages(frame(spark, docs)).collect():
+        got[r.doc_id] |= set(range(r.first, r.end))
+        assert r.copies > 1
+    return got
+
+
+def test_passages_are_found_around_a_very_common_gram(spark):
+    rng = np.random.default_rng(8)
+    own = lambda n: [f"o{x}" for x in rng.integers(0, 10 ** 9, n)]
+    gram, pairs = common_gram(rng), [own(30) for _ in range(20)]
+    docs = numbered(" ".join((pairs[i % 20] if i < 40 else own(30)) + gram + own(30)) for i in range(6000))
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    try:
+        got = repeated_words(spark, docs)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert got == {i: set(range(50)) if i < 40 else set() for i in docs}
+
+
 EVERY = {
     "jaccard": lambda d: ngram_join.jaccard_components(d),
     "bpe": lambda d: bpe.encode(d, tokenizer()),
