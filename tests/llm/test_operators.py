@@ -245,6 +245,19 @@ def test_passages_are_found_around_a_very_common_gram(spark):
     assert got == {i: set(range(50)) if i < 40 else set() for i in docs}
 
 
+def test_passages_are_found_among_many_that_share_either_side(spark):
+    rng = np.random.default_rng(9)
+    own = lambda n: [f"o{x}" for x in rng.integers(0, 10 ** 9, n)]
+    docs, whole = [], set()
+    for _ in range(5):  # two texts share both sides of the gram, a hundred others one side each
+        gram, left, right = common_gram(rng), own(15), own(15)
+        whole |= {len(docs), len(docs) + 1}
+        docs += [own(20) + left + gram + right + own(20) for _ in range(2)]
+        docs += [own(35) + gram + right + own(20) for _ in range(50)] + [own(20) + left + gram + own(35) for _ in range(50)]
+    docs = numbered(" ".join(w) for w in docs)
+    assert repeated_words(spark, docs) == {i: set(range(20, 70)) if i in whole else set() for i in docs}
+
+
 EVERY = {
     "jaccard": lambda d: ngram_join.jaccard_components(d),
     "bpe": lambda d: bpe.encode(d, tokenizer()),
