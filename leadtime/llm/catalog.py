@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadtime.llm import bpe, line_dedup, mixing, ngram_join, quality_classifier, quality_rules, sharding, suffix_dedup, vptree, warc
+from leadtime.llm import (bpe, dual_tree, line_dedup, mixing, ngram_join, quality_classifier, quality_rules, sharding, suffix_dedup, toxicity, vector_codes,
+                          vptree, warc)
 from leadtime.llm.common import cut_lineage, read, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +113,58 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.clean(read(spark, sf_dir, "documents"), counts=True)
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("text_sha256"))
+
+
+def _op11_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """The rounds written out one after another, each part compared with all entries."""
+    steps = [f"""
+k AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+     WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT vec_id, label, part, v[part * len(v) // {parts} + 1:(part + 1) * len(v) // {parts}] AS x FROM k, range({parts}) AS r(part)),
+c0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS e, x FROM p QUALIFY e < {entries})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (SELECT vec_id, label, p.part, any_value(p.x) AS x,
+     min(CAST(list_inner_product(p.x, p.x) - 2 * list_inner_product(p.x, c.x) + list_inner_product(c.x, c.x) AS BIGINT) * {entries} + e) AS best
+     FROM p JOIN c{r} AS c ON p.part = c.part GROUP BY vec_id, label, p.part)""")
+        if r < rounds:
+            steps.append(f"""
+c{r + 1} AS MATERIALIZED (SELECT c.part, c.e, coalesce(m.x, c.x) AS x FROM c{r} AS c LEFT JOIN
+     (SELECT part, e, list(y ORDER BY i) AS x FROM (SELECT part, best % {entries} AS e, i, floor(sum(x[i]) / count(*)) AS y
+      FROM a{r}, range(1, len(x) + 1) AS s(i) GROUP BY part, best % {entries}, i) GROUP BY part, e) AS m ON c.part = m.part AND c.e = m.e)""")
+    return "WITH" + ",".join(steps) + f""",
+s AS (SELECT sha256(string_agg(CAST(x[i] AS BIGINT), ',' ORDER BY part, e, i)) AS codebooks_sha256 FROM c{rounds}, range(1, len(x) + 1) AS s(i)),
+f AS (SELECT vec_id, label, string_agg(format('{{:02x}}', best % {entries}), '' ORDER BY part) AS code, CAST(sum(best // {entries}) AS BIGINT) AS error
+      FROM a{rounds} GROUP BY vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM f, s"""
+
+
+@query("op11_vector_codes", _op11_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read(spark, sf_dir, "embeddings"))
+
+
+OP12 = r"""
+WITH lowered AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+d AS (SELECT row_number() OVER () AS r, doc_id, t, len(t) AS n FROM lowered WHERE len(t) > 0),
+s AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS l FROM d),
+q AS (SELECT i, item_id, t, count(*) AS times FROM (SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark)
+      GROUP BY i, item_id, t),
+v AS (SELECT DISTINCT t FROM q),
+p AS MATERIALIZED (SELECT r, x.t, count(*) AS tf FROM (SELECT r, unnest(t) AS t FROM d) AS x SEMI JOIN v ON x.t = v.t GROUP BY r, x.t),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * big_n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, s GROUP BY t, big_n),
+g AS (SELECT p.r, p.t, w.w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // l))) AS gain FROM p JOIN w ON p.t = w.t JOIN d ON p.r = d.r, s),
+f AS (SELECT i, item_id, d.doc_id, d.r, CAST(sum(times * gain) AS BIGINT) AS score FROM g JOIN q ON g.t = q.t JOIN d ON g.r = d.r GROUP BY i, item_id, d.doc_id, d.r)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score FROM f WHERE score > 0 QUALIFY rank <= 20"""
+
+
+@query("op12_ranked_lexical_search", OP12)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dual_tree.top_documents(read(spark, sf_dir, "benchmark"), read(spark, sf_dir, "documents"))
+
+
+@query("op13_toxicity")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from leadtime.session import cut_lineage, scratch_path
 
-__all__ = ["SPACE", "bits_table", "cut_lineage", "maybe_in", "read", "scratch_path", "words"]
+__all__ = ["SPACE", "bits_table", "cut_lineage", "discard", "maybe_in", "read", "scratch_path", "stored", "words"]
 
 #: What separates words: blank, and the five control characters 0x09 to 0x0D.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -37,3 +37,16 @@ def maybe_in(df: DataFrame, key: str, bits: DataFrame, log2_bits: int) -> DataFr
     at = F.pmod(F.col(key), F.lit(1 << log2_bits))
     hit = F.expr(f"getbit(_bits, cast(pmod({key}, 64L) as int)) = 1")
     return (df.withColumn("_slot", F.shiftright(at, 6)).join(F.broadcast(bits), "_slot").where(hit).drop("_slot", "_bits"))
+
+
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows written to a new table in the shared folder and read back from it, and the table's path (see ``discard``)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that no later job reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
