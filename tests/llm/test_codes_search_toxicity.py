@@ -152,7 +152,7 @@ def test_search_leaves_out_batches_of_pairs():
     for i, found in enumerate(best.found):
         order = np.lexsort((np.arange(n), -scores[:, i]))[:5]
         assert [(-s, x) for s, _, x in found] == [(scores[j, i], j) for j in order if scores[j, i] > 0]
-    assert 0 < scored < 0.1 * 40 * n
+    assert 0 < scored < 0.2 * 40 * n  # a twentieth share a topic
 
 
 def test_search_without_items_or_documents(spark, odd_docs, no_docs):
