@@ -3,20 +3,23 @@
 For every (entity, observation date) the features see only events strictly
 before the date, and the label sees only events after it.
 
-Shape of the plan. All sources go into one long projection, each event is
-attached to the observation dates it matters for, and ONE aggregate computes
-every feature of every source, followed by ONE left join to the cohort on the
-same keys. Counts, sums and latest dates are combined map-side, so an entity
-with a third of all events costs one partial row per task and date. Distinct
-codes need no per-group set: each (entity, code) is reduced to its first date,
-and a code counts for a date exactly when its first date lies before it.
+Shape of the plan. The borders of all windows of all listed dates cut time into
+segments. Each table is read once, and each event gets its segment's number; an
+aggregate leaves one row per (entity, segment), whatever the number of dates,
+windows and features. A code counts from the first segment that has it, so
+distinct codes need no per-group set: the same aggregate also reduces every (entity, code) to
+that segment. Only then are segments expanded to dates, as ranges of numbers. All
+steps combine map-side, so an entity with a third of all events costs
+one partial row per task and segment. One left join brings the features to the cohort.
 """
 
 from __future__ import annotations
 
+from calendar import monthrange
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
@@ -109,31 +112,51 @@ def _scan_bounds(df: DataFrame, time: str, obs_dates: Sequence[date], features:
     return df
 
 
-def _dated(rows: DataFrame, obs_dates: Sequence[date], features: Sequence[Feature], all_features: Sequence[Feature],
-           obs: str) -> DataFrame:
-    """Each row once per date it matters for, beside the window bounds of that date.
+def _shifted(d: date, months: int) -> date:
+    """The day ``months`` later, or the last day of that month where it has none such."""
+    y, m = divmod(d.year * 12 + d.month - 1 + months, 12)
+    return date(y, m + 1, min(d.day, monthrange(y, m + 1)[1]))
 
-    The bounds are constants of the same type as the time column: no date
-    arithmetic is left to do per row and feature.
+
+class Lattice:
+    """Time cut into numbered segments by the window borders of all observation dates.
+
+    A border is (day, False), passed from the day's first moment on, or (day, True), passed after that moment. An event's
+    segment is the number of borders it has passed, so every window is a range of segment numbers.
     """
-    kind = dict(rows.dtypes)["_ts"]
-
-    def at(d: date, months: int = 0) -> str:
-        return f"CAST(add_months(DATE'{d}', {months}) AS {kind})"
-
-    table = ", ".join("named_struct(" + ", ".join(
-        [f"'obs', DATE'{d}', 'at', {at(d)}"]
-        + [f"'back_{m}', {at(d, -m)}" for m in _months_back(all_features)]
-        + [f"'ahead_{m}', {at(d, m)}" for m in _months_ahead(all_features)]) + ")" for d in obs_dates)
-    back, ahead, tests = _months_back(features), _months_ahead(features), []
-    if _needs_past(features):
-        tests.append("_ts < _d.at")
-    elif back:
-        tests.append(f"_ts >= _d.back_{back[-1]} AND _ts < _d.at")
-    if ahead:
-        tests.append(f"_ts > _d.at AND _ts <= _d.ahead_{ahead[-1]}")
-    return (rows.withColumn("_d", F.expr(f"explode(array({table}))")).where(" OR ".join(f"({t})" for t in tests))
-            .withColumn(obs, F.expr("_d.obs")))
+
+    def __init__(self, obs_dates: Sequence[date], features: Sequence[Feature]):
+        self.obs_dates, self.back, self.ahead = sorted(set(obs_dates)), _months_back(features), _months_ahead(features)
+        borders = set()
+        for d in self.obs_dates:
+            borders |= {(d, False)} | {(_shifted(d, -m), False) for m in self.back}
+            borders |= {(_shifted(d, m), True) for m in (0, *self.ahead) if self.ahead}
+        self.borders = sorted(borders)
+        self.past = _needs_past(features)
+
+    def segment(self, time: str, kind: str) -> str:
+        """SQL for an event's segment: a binary search over the borders, which are constants of the time's own type."""
+        def search(low: int, high: int) -> str:
+            if low == high:
+                return str(low)
+            middle = (low + high) // 2
+            day, after = self.borders[middle]
+            return f"IF({time} {'>' if after else '>='} CAST(DATE'{day}' AS {kind}), {search(middle + 1, high)}, {search(low, middle)})"
+
+        return search(0, len(self.borders))
+
+    def date_table(self) -> str:
+        """SQL for the dates with their windows as segment numbers: ``at`` the last one before the date, ``back_m`` and ``from``
+        the first, ``ahead_m`` the last of a window, ``low`` and ``high`` what any window of the date needs."""
+        place, rows = {b: i for i, b in enumerate(self.borders)}, []
+        for d in self.obs_dates:
+            at, back = place[d, False], {m: place[_shifted(d, -m), False] + 1 for m in self.back}
+            ahead = {m: place[_shifted(d, m), True] for m in self.ahead}
+            low = 0 if self.past else min(back.values(), default=place[d, True] + 1 if ahead else at + 1)
+            cells = {"at": at, **{f"back_{m}": i for m, i in back.items()}, "from": place[d, True] + 1 if ahead else at,
+                     **{f"ahead_{m}": i for m, i in ahead.items()}, "low": low, "high": max(ahead.values(), default=at)}
+            rows.append(f"named_struct('obs', DATE'{d}', " + ", ".join(f"'{k}', {v}" for k, v in cells.items()) + ")")
+        return "array(" + ", ".join(rows) + ")"
 
 
 def attach_dates(df: DataFrame, time: str, obs_dates: Sequence[date], obs: str = "obs_date",
@@ -147,65 +170,79 @@ def attach_dates(df: DataFrame, time: str, obs_dates: Sequence[date], obs: str =
     return df.withColumn(obs, F.explode(dates)).where(test(F.col(time), F.col(obs)))
 
 
-def _flag_name(f: Feature) -> str:
-    return f"_{'codes' if f.kind == 'distinct' else 'rows'}_{f.source}"
+#: Per source, what the rows of a segment add up to: events, amounts, the last time, codes met for the first time.
+_MEASURES = {"count": "n", "trailing": "n", "ahead": "n", "ahead_count": "n", "sum": "amt", "recency": "last", "distinct": "codes"}
 
 
-def _branches(sources: Sequence[Source], features: Sequence[Feature], obs_dates: Sequence[date], key: str,
-              obs: str) -> list[DataFrame]:
-    """Long rows (key, obs, _ts, _amt, one flag per source), one branch per table and purpose."""
-    flags = sorted({_flag_name(f) for f in features})
+def _measures(features: Sequence[Feature]) -> list[tuple[str, str]]:
+    unknown = {f.kind for f in features} - set(_MEASURES)
+    if unknown:
+        raise ValueError(f"unknown feature kind {sorted(unknown)}")
+    return sorted({(_MEASURES[f.kind], f.source) for f in features})
 
-    def flagged(own: dict[str, Column]) -> list[Column]:
-        return [(F.coalesce(own[n], F.lit(False)) if n in own else F.lit(False)).alias(n) for n in flags]
 
-    out = []
-    groups: dict[tuple, list[Source]] = {}
-    for s in sources:
-        groups.setdefault((id(s.events), s.key, s.time), []).append(s)
-    for group in groups.values():
-        plain = [f for f in features if f.kind != "distinct" and f.source in {s.name for s in group}]
-        if plain:
-            amounts = {s.amount for s in group for f in plain if f.kind == "sum" and f.source == s.name}
-            if None in amounts or len(amounts) > 1:
-                raise ValueError(f"sources {[s.name for s in group]} need one amount column to sum")
-            amount = safe_numeric(amounts.pop()) if amounts else F.lit(None).cast("double")
-            events = _scan_bounds(group[0].events, group[0].time, obs_dates, plain)
-            own = {f"_rows_{s.name}": F.lit(True) if s.where is None else s.where for s in group}
-            own = {n: c for n, c in own.items() if n in flags}
-            rows = events.select(F.col(group[0].key).alias(key), F.col(group[0].time).alias("_ts"),
-                                 amount.alias("_amt"), *flagged(own))
-            if all(s.where is not None for s in group):
-                rows = rows.where(" OR ".join(f"`{n}`" for n in own))
-            out.append(_dated(rows, obs_dates, plain, features, obs))
-    for s in sources:
-        coded = [f for f in features if f.kind == "distinct" and f.source == s.name]
-        if coded:
-            if s.code is None:
-                raise ValueError(f"source {s.name} has no code column to count")
-            events = _scan_bounds(s.events, s.time, obs_dates, coded)
-            events = events if s.where is None else events.where(s.where)
-            first = (events.where(F.col(s.code).isNotNull())
-                     .groupBy(F.col(s.key).alias(key), F.col(s.code).alias("_code")).agg(F.min(s.time).alias("_ts")))
-            rows = first.select(key, "_ts", F.lit(None).cast("double").alias("_amt"),
-                                *flagged({f"_codes_{s.name}": F.lit(True)}))
-            out.append(_dated(rows, obs_dates, coded, features, obs))
-    return out
+def _segment_rows(group: Sequence[Source], features: Sequence[Feature], lattice: Lattice, key: str, moment: str) -> DataFrame:
+    """Rows (key, _segment, one column per measure) of sources that share a table, from one scan of it.
+
+    A source with codes adds a row for each (entity, code), in the code's first segment.
+    """
+    by = {s.name: s for s in group}
+    mine = [f for f in features if f.source in by]
+    measures = _measures(mine)
+    coded = [name for kind, name in measures if kind == "codes"]
+    for name in coded:
+        if by[name].code is None:
+            raise ValueError(f"source {name} has no code column to count")
+    for kind, name in measures:
+        if kind == "amt" and by[name].amount is None:
+            raise ValueError(f"source {name} has no amount column to sum")
+    events = _scan_bounds(group[0].events, group[0].time, lattice.obs_dates, mine)
+    if all(s.where is not None for s in group):
+        events = events.where(reduce(lambda a, b: a | b, [s.where for s in group]))
+
+    def within(s: Source, value: Column) -> Column:
+        return value if s.where is None else F.when(s.where, value)
+
+    def value(kind: str, s: Source) -> Column:
+        if kind == "n":
+            return F.coalesce(within(s, F.lit(1)), F.lit(0)).cast("long")
+        if kind == "amt":
+            return within(s, safe_numeric(s.amount))
+        return within(s, F.col(s.time).cast(moment))
+
+    plain = [(kind, name) for kind, name in measures if kind != "codes"]
+    time, kind = group[0].time, dict(events.dtypes)[group[0].time]
+    rows = events.select(F.col(group[0].key).alias(key), F.expr(lattice.segment(f"`{time}`", kind)).alias("_segment"),
+                         *[value(m, by[name]).alias(f"_{m}_{name}") for m, name in plain],
+                         *[within(by[name], F.col(by[name].code)).alias(f"_code_{name}") for name in coded])
+    if not coded:
+        return rows
+    # the sets of rows (entity, segment) and (entity, code) in one aggregate; a set's number has a bit for every column it lacks
+    cells = [key, "_segment", *[f"_code_{name}" for name in coded]]
+    sets = [[key, "_segment"], *[[key, f"_code_{name}"] for name in coded]]
+    number = [sum(1 << (len(cells) - 1 - i) for i, c in enumerate(cells) if c not in s) for s in sets]
+    if not plain:
+        sets = sets[1:]
+    found = (rows.withColumn("_first", F.col("_segment")).groupingSets(sets, *cells)
+             .agg(F.grouping_id().alias("_set"), F.min("_first").alias("_first"),
+                  *[(F.max if m == "last" else F.sum)(f"_{m}_{name}").alias(f"_{m}_{name}") for m, name in plain]))
+    own = F.col("_set") == number[0]
+    columns = [F.when(own, F.col(f"_{m}_{name}")).alias(f"_{m}_{name}") for m, name in plain]
+    new = {name: (F.col("_set") == n) & F.col(f"_code_{name}").isNotNull() for name, n in zip(coded, number[1:])}
+    columns += [F.when(new[name], 1).otherwise(0).cast("long").alias(f"_codes_{name}") for name in coded]
+    kept = reduce(lambda a, b: a | b, new.values(), own)
+    return found.where(kept).select(key, F.coalesce("_segment", "_first").alias("_segment"), *columns)
 
 
 def _aggregate(f: Feature) -> Column:
-    """The conditional aggregate of one feature, as SQL text: the builds have dozens of them."""
-    here = f"`{_flag_name(f)}`"
-    inside = {"trailing": f"_ts >= _d.back_{f.months} AND _ts < _d.at",
-              "ahead": f"_ts > _d.at AND _ts <= _d.ahead_{f.months}",
-              "ahead_count": f"_ts > _d.at AND _ts <= _d.ahead_{f.months}"}.get(f.kind, "_ts < _d.at")
-    shape = {"count": "count(CASE WHEN {0} THEN 1 END)", "trailing": "count(CASE WHEN {0} THEN 1 END)",
-             "distinct": "count(CASE WHEN {0} THEN 1 END)", "ahead_count": "count(CASE WHEN {0} THEN 1 END)",
-             "ahead": "max(CASE WHEN {0} THEN 1 ELSE 0 END)", "sum": "sum(CASE WHEN {0} THEN _amt ELSE 0.0D END)",
-             "recency": "max(CASE WHEN {0} THEN _ts END)"}
-    if f.kind not in shape:
-        raise ValueError(f"unknown feature kind {f.kind}")
-    return F.expr(shape[f.kind].format(f"{here} AND {inside}")).alias(f.name)
+    """A feature as the conditional aggregate over the segments of its window, as SQL text: the builds have dozens of them."""
+    inside = {"trailing": f"_segment BETWEEN _d.back_{f.months} AND _d.at",
+              "ahead": f"_segment BETWEEN _d.from AND _d.ahead_{f.months}",
+              "ahead_count": f"_segment BETWEEN _d.from AND _d.ahead_{f.months}"}.get(f.kind, "_segment <= _d.at")
+    value = f"`_{_MEASURES[f.kind]}_{f.source}`"
+    shape = {"recency": "max(CASE WHEN {0} THEN {1} END)", "ahead": "max(CASE WHEN {0} AND {1} > 0 THEN 1 ELSE 0 END)",
+             "sum": "sum(CASE WHEN {0} THEN coalesce({1}, 0.0D) ELSE 0.0D END)"}
+    return F.expr(shape.get(f.kind, "sum(CASE WHEN {0} THEN coalesce({1}, 0L) ELSE 0L END)").format(inside, value)).alias(f.name)
 
 
 def entity_features(sources: Sequence[Source], features: Sequence[Feature], obs_dates: Sequence[date],
@@ -215,10 +252,20 @@ def entity_features(sources: Sequence[Source], features: Sequence[Feature], obs_
     unknown = {f.source for f in features} - {s.name for s in used}
     if unknown:
         raise ValueError(f"features refer to unknown sources {sorted(unknown)}")
+    groups: dict[tuple, list[Source]] = {}
+    for s in used:
+        groups.setdefault((id(s.events), s.key, s.time), []).append(s)
+    lattice = Lattice(obs_dates, features)
+    # the last moments of a day are told apart only where a source has them
+    moment = "date" if all(dict(s.events.dtypes)[s.time] == "date" for s in used) else "timestamp"
     whole = None
-    for part in _branches(used, features, obs_dates, key, obs):
-        whole = part if whole is None else whole.unionByName(part)
-    out = whole.groupBy(key, obs).agg(*[_aggregate(f) for f in features])
+    for group in groups.values():
+        part = _segment_rows(group, features, lattice, key, moment)
+        whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
+    names = [f"_{m}_{name}" for m, name in _measures(features)]
+    cells = whole.groupBy(key, "_segment").agg(*[(F.max if n.startswith("_last_") else F.sum)(n).alias(n) for n in names])
+    dated = cells.withColumn("_d", F.expr(f"explode({lattice.date_table()})")).where("_segment BETWEEN _d.low AND _d.high")
+    out = dated.groupBy(key, F.col("_d.obs").alias(obs)).agg(*[_aggregate(f) for f in features])
     days = {f.name: whole_days(F.col(f.name), F.col(obs)) for f in features if f.kind == "recency"}
     return out.withColumns(days) if days else out
 

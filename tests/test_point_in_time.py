@@ -149,3 +149,47 @@ def test_rolling_counts_below_a_second(spark):
     df = spark.createDataFrame([("a", t) for t in moments], "id string, ts timestamp")
     got = {r["ts"]: r["n"] for r in pit.rolling_counts(df, "id", "ts", 1, "n").collect()}
     assert [got[t] for t in moments] == [0, 1, 2, 1]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_every_table_is_read_once(spark):
+    from leadtime.plans import risk_features as rf
+    from leadtime.plans.bindings import KEY, OBS_DATES, Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    plan = plan_of(pit.entity_features(t.sources, rf.FULL_FEATURES, OBS_DATES, KEY))
+    scans = [line for line in plan.split("\n") if "FileScan" in line or "Scan parquet" in line]
+    assert sum("l_shipdate" in s for s in scans) == 1 and sum("o_orderdate" in s or "o_totalprice" in s for s in scans) == 1
+    assert "Window" not in plan and "collect" not in plan
+
+
+def test_segments_hold_for_any_dates_and_month_ends(spark, frame, events):
+    dates = [date(2008, 2, 29), date(2008, 3, 31), date(2008, 8, 31), date(2007, 5, 1), date(2009, 3, 30)]
+    ids = sorted({r[0] for r in events})[:9] + ["hot"]
+    few = pit.cohort_on(spark.createDataFrame([(i,) for i in ids], "id string"), "id", dates)
+    wanted = [pit.count_trailing("all", m, f"back{m}") for m in (1, 6)] + [pit.count_ahead("all", m, f"next{m}") for m in (1, 6)] + [pit.event_ahead("some", 1, "any")]
+    lattice = pit.Lattice(dates, wanted)
+    assert lattice.borders == sorted(set(lattice.borders)) and not lattice.past
+    for r in pit.point_in_time(few, sources(frame), wanted, dates, "id").collect():
+        obs = datetime.combine(r.obs_date, datetime.min.time())
+        mine = [(ts, kind) for who, ts, _, _, kind in events if who == r.id and ts is not None]
+        for m in (1, 6):
+            first, last = (datetime.combine(pit._shifted(r.obs_date, k), datetime.min.time()) for k in (-m, m))
+            assert (r[f"back{m}"], r[f"next{m}"]) == (sum(first <= ts < obs for ts, _ in mine), sum(obs < ts <= last for ts, _ in mine))
+        assert r["any"] == int(any(obs < ts <= datetime.combine(pit._shifted(r.obs_date, 1), datetime.min.time()) and kind for ts, kind in mine))
+
+
+def test_moments_on_a_border_and_codes_of_several_sources(spark):
+    at = [datetime(2008, 1, 1), datetime(2008, 1, 1, 0, 0, 0, 1), datetime(2007, 12, 31, 23, 59, 59, 999999), datetime(2007, 10, 1), datetime(2007, 9, 30, 23, 59, 59),
+          datetime(2008, 7, 1), datetime(2008, 7, 1, 0, 0, 0, 1), None]
+    rows = [("a", t, f"c{i % 2}", i, float(i)) for i, t in enumerate(at)]
+    df = spark.createDataFrame(rows, "id string, ts timestamp, code string, other int, amt double")
+    two = [pit.Source("x", df, "id", "ts", "amt", "code"), pit.Source("y", df, "id", "ts", "amt", "other", where=F.col("other") > 2)]
+    wanted = [pit.count_before("x", "n"), pit.count_trailing("x", 3, "n3"), pit.count_ahead("x", 6, "ahead"), pit.distinct_before("x", "codes"),
+              pit.distinct_before("y", "others"), pit.sum_before("y", "amt")]
+    cohort = spark.createDataFrame([("a", date(2008, 1, 1)), ("b", date(2008, 1, 1))], "id string, obs_date date")
+    got = {r.id: (r.n, r.n3, r["ahead"], r.codes, r.others, r.amt) for r in pit.point_in_time(cohort, two, wanted, [date(2008, 1, 1)], "id").collect()}
+    assert got == {"a": (3, 2, 2, 2, 2, 7.0), "b": (0, 0, 0, 0, 0, 0.0)}
