@@ -12,7 +12,9 @@ from leadtime.plans.catalog import query
 from leadtime.plans.catalog import sql as q
 from leadtime.plans.catalog.evaluation import _ROUTE, band_sql
 from leadtime.streaming import monitors as mon
-from leadtime.streaming.runner import append_result, complete_result, read_stream
+from leadtime.session import scratch_path
+from leadtime.streaming.keyed import KeyedTable
+from leadtime.streaming.runner import append_result, closed_result, complete_result, read_stream, run_keyed
 
 
 def stamp(df, *names):
@@ -205,3 +207,75 @@ def t9(t: Tables):
 @query("t9_score_requests_stream", _T9)
 def t9_stream(t: Tables):
     return append_result(t9_of(event_stream(t)))
+
+
+# --- append mode: windows that the watermark, an hour behind the newest event, has closed
+
+def closed_sql(sql: str, minutes: int) -> str:
+    """Of a query's windows, those that end no later than the watermark after all events."""
+    return (f"SELECT * FROM ({sql}) WHERE strptime(window_start, '%Y-%m-%d %H:%M:%S') + INTERVAL {minutes} MINUTE "
+            "<= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)")
+
+
+_CLOSED = {"t1_request_rate": (t1_of, _T1, 1), "t2_latency_quantiles": (t2_of, _T2, 60), "t3_error_rate": (t3_of, _T3, 60),
+           "t4_risk_band_rate": (t4_of, _T4, 60), "t5_assignment_rate": (t5_of, _T5, 60), "t6_mean_latency": (t6_of, _T6, 5)}
+for _name, (_of, _sql, _minutes) in _CLOSED.items():
+    query(f"{_name}_closed_stream", closed_sql(_sql, _minutes))(lambda t, of=_of: closed_result(of(event_stream(t))))
+
+
+def sliding_of(events):
+    df = mon.sliding_rates(events, "ts", ["endpoint"], "status", "1 hour", "10 minutes")
+    return rounded(stamp(df), "per_second", "error_share")
+
+
+_SLIDING = f"""WITH {q.REQ}, w AS (SELECT time_bucket(INTERVAL 10 MINUTE, ts, TIMESTAMP '2000-01-01') - i * INTERVAL 10 MINUTE AS start,
+  endpoint, status FROM req, range(6) AS r(i))
+SELECT strftime(start, '%Y-%m-%d %H:%M:%S') AS window_start, endpoint, count(*) AS n, count(*) FILTER (WHERE status >= 500) AS n_errors,
+  round(count(*) / 3600.0, 6)::DOUBLE AS per_second, round(count(*) FILTER (WHERE status >= 500) / count(*), 6)::DOUBLE AS error_share
+FROM w GROUP BY 1, 2"""
+
+
+@query("t1_sliding_rate", _SLIDING)
+def t1_sliding(t: Tables):
+    return sliding_of(mon.timed(t.requests, "ts"))
+
+
+@query("t1_sliding_rate_stream", closed_sql(_SLIDING, 60))
+def t1_sliding_stream(t: Tables):
+    return closed_result(sliding_of(event_stream(t)))
+
+
+@query("t3_closed_error_rate", closed_sql(_T3, 60))
+def t3_closed(t: Tables):
+    events = mon.timed(t.requests, "ts")
+    df = mon.closed_windows(mon.error_rate(events, "ts", "status", length="1 hour"), events, "ts", "1 hour")
+    return rounded(stamp(df), "errors_per_second", "error_share")
+
+
+# --- keyed tables after three batches, the second of which comes twice
+
+def keyed_result(t: Tables, keys, reduce, fold):
+    arrived, folder = scratch_path(t.spark, "arrived"), scratch_path(t.spark, "keyed")
+    t.requests.repartitionByRange(3, "event_id").sortWithinPartitions("event_id").write.parquet(arrived)
+    stream = read_stream(t.spark, arrived, t.requests.schema, files_per_batch=1)
+    table = KeyedTable(t.spark, folder, keys, reduce, fold, buckets=4)
+    once = table.apply
+
+    def twice(rows, n):
+        return once(rows, n) if n != 1 else (once(rows, n), once(rows, n))
+
+    table.apply = twice
+    run_keyed(stream, table, scratch_path(t.spark, "stream-state"))
+    return table.read()
+
+
+@query("t7_latest_gauge_keyed_stream", _T7)
+def t7_keyed(t: Tables):
+    df = keyed_result(t, ["endpoint"], lambda d: mon.latest_gauge(d, "ts", ["endpoint"], "score"), lambda d: mon.fold_gauge(d, ["endpoint"]))
+    return rounded(stamp(df, "at"), "value").select("endpoint", "value", "at")
+
+
+@query("t8_running_totals_keyed_stream", _T8)
+def t8_keyed(t: Tables):
+    df = keyed_result(t, ["endpoint"], lambda d: mon.running_totals(d, ["endpoint"], "status"), lambda d: mon.fold_totals(d, ["endpoint"]))
+    return df.select("endpoint", "n_requests", "n_errors")

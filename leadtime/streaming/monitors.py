@@ -45,6 +45,29 @@ def error_rate(df: DataFrame, time: str, status: str, by: Sequence[str] = (), le
                             "error_share": F.col("n_errors") / F.col("n")})
 
 
+def sliding_rates(df: DataFrame, time: str, by: Sequence[str] = (), status: str | None = None, length: str = "5 minutes",
+                  slide: str = "1 minute") -> DataFrame:
+    """Requests per second of overlapping windows, and with a status column the share of server errors.
+
+    Events are counted once, into panes as long as the slide; a window adds up its panes. So an event is not copied into
+    every window that holds it, and state holds panes. On a stream both steps close with the watermark (append mode).
+    """
+    if _seconds(length) % _seconds(slide):
+        raise ValueError(f"{length} is no multiple of {slide}")
+    counts = {"n": F.count("*"), **({"n_errors": F.count(F.when(F.col(status) >= 500, 1))} if status else {})}
+    panes = df.groupBy(F.window(time, slide), *by).agg(*[c.alias(n) for n, c in counts.items()])
+    wide = panes.groupBy(F.window(F.window_time("window"), length, slide), *by).agg(*[F.sum(n).alias(n) for n in counts])
+    out = wide.select(F.col("window.start").alias("window_start"), *by, *counts).withColumn("per_second", F.col("n") / _seconds(length))
+    return out.withColumn("error_share", F.col("n_errors") / F.col("n")) if status else out
+
+
+def closed_windows(df: DataFrame, events: DataFrame, time: str, length: str, delay: str = "1 hour") -> DataFrame:
+    """Of a stored table's windows, those that a stream with this delay has closed after all events."""
+    newest = events.agg(F.max(F.unix_micros(time)).alias("at")).scalar()
+    end = F.unix_micros("window_start") + F.lit(int(_seconds(length) * 1e6))
+    return df.where(end <= newest - F.lit(int(_seconds(delay) * 1e6)))
+
+
 def label_counts(df: DataFrame, time: str, by: Sequence[str], length: str = "1 minute", slide: str | None = None) -> DataFrame:
     """Predictions per label (risk band and version, or A/B role) and their rate."""
     return request_rate(df, time, by, length, slide)
@@ -86,6 +109,16 @@ def latest_gauge(df: DataFrame, time: str, by: Sequence[str], value: str) -> Dat
     return df.groupBy(*by).agg(newest.alias("_g")).select(*by, F.col("_g.value").alias("value"), F.col("_g.at").alias("at"))
 
 
+def fold_gauge(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The most recent of several rows of ``latest_gauge`` per label."""
+    return latest_gauge(df, "at", by, "value")
+
+
+def fold_totals(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The sum of several rows of ``running_totals`` per label."""
+    return df.groupBy(*by).agg(*[F.sum(c).alias(c) for c in df.columns if c not in by])
+
+
 def running_totals(df: DataFrame, by: Sequence[str], status: str | None = None) -> DataFrame:
     """Requests and errors so far."""
     aggregates = [F.count("*").alias("n_requests")]
