@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from leadtime.fixed_values import (CANDIDATE_MIN_AUC, PRECISION_MIN_POSITIVES, RECALL_TARGET, SWEEP_THRESHOLDS)
 from leadtime.functions.numeric import flag, ratio_or_zero
-from leadtime.operators.prefix import add_before, quantile_bounds, with_bucket
+from leadtime.operators.prefix import add_before, bounds_of, with_bucket
 
 COUNTS = ("tp", "fp", "tn", "fn")
 
@@ -50,6 +50,13 @@ def _per_score(df: DataFrame, label: str, score: str, by: Sequence[str]) -> Data
                  F.count(F.when(F.col(label) == 0, 1)).alias("neg")))
 
 
+def _bucketed(scores: DataFrame, bounds: Sequence[float] | None) -> DataFrame:
+    if bounds is None:
+        # the condition holds for every row; with it the subquery needs the columns of the curve and so reuses its shuffle
+        bounds = bounds_of(scores.where("pos + neg >= 0"), "score")
+    return with_bucket(scores, "score", bounds)
+
+
 def _ranked(df: DataFrame, label: str, score: str, by: Sequence[str], bounds: Sequence[float] | None,
             threshold: float) -> DataFrame:
     """Pairs won, class totals and hits at one threshold per group, in one pass over the scores.
@@ -57,9 +64,7 @@ def _ranked(df: DataFrame, label: str, score: str, by: Sequence[str], bounds: Se
     Each bucket contributes its own pairs and, through one number, the negatives
     of all buckets below it, so the offsets are never joined back to the rows.
     """
-    if bounds is None:
-        bounds = quantile_bounds(df, score)
-    points = with_bucket(_per_score(df, label, score, by), "score", bounds)
+    points = _bucketed(_per_score(df, label, score, by), bounds)
     below = Window.partitionBy(*by, "_bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     inner = points.withColumn("_below", F.coalesce(F.sum("neg").over(below), F.lit(0)))
     hit = F.col("score") >= F.lit(float(threshold))
@@ -121,9 +126,7 @@ def threshold_sweep(df: DataFrame, label: str, score: str, thresholds: Sequence[
 def pr_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
              bounds: Sequence[float] | None = None) -> DataFrame:
     """One row per distinct score as threshold: counts, precision, recall, F1."""
-    if bounds is None:
-        bounds = quantile_bounds(df, score)
-    points = with_bucket(_per_score(df, label, score, by), "score", bounds)
+    points = _bucketed(_per_score(df, label, score, by), bounds)
     run = add_before(points, {"_tp": "pos", "_fp": "neg"}, ["score"], groups=by, descending=True,
                      totals={"_P": "pos", "_N": "neg"})
     tp, fp = F.col("_tp") + F.col("pos"), F.col("_fp") + F.col("neg")

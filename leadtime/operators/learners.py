@@ -19,12 +19,14 @@ from leadtime.fixed_values import MISSING_MODEL_SCORE
 from leadtime.functions.numeric import add_all, clip, uniform_hash
 from leadtime.operators.ensembles import assign_folds
 from leadtime.operators.evaluation import trial_score
-from leadtime.operators.prefix import add_before, quantile_bounds, with_bucket
+from leadtime.operators.prefix import add_before, bounds_of, with_bucket
 from leadtime.operators.profile import balanced_weights
 from leadtime.operators.scaling import apply_scaler, fit_scaler
 from leadtime.session import cut_lineage
 
 VECTOR = "_features"
+#: Rows of a slice in which near rows are looked for.
+SLICE = 4096
 
 
 def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -176,9 +178,9 @@ def oversample(df: DataFrame, label: str, features: Sequence[str], key: str, nei
 
     Near rows are searched among the ``reach`` rows on both sides along one
     projection of the standardised features, by true distance: linear work, no
-    pairs within a group. A tiny hash offset separates equal projections, so
-    that the quantile buckets stay even when many rows are the same. The
-    number of new rows is exact: negatives - positives.
+    pairs within a group. Rows are numbered along the line; a slice of numbers also gets
+    copies of the ``reach`` rows beyond its ends, so every row sees the same neighbours however the
+    work is cut. A tiny hash offset separates equal projections. The number of new rows is exact: negatives - positives.
     """
     scaler = fit_scaler(df, features)
     z = apply_scaler(df.withColumns({f"_x_{c}": F.col(c).cast("double") for c in features}), scaler, features)
@@ -188,10 +190,13 @@ def oversample(df: DataFrame, label: str, features: Sequence[str], key: str, nei
     minority = (z.where(F.col(label) == 1)
                 .select(F.col(key), F.array(*[F.col(c) for c in features]).alias("_z"),
                         F.array(*[F.col(f"_x_{c}") for c in features]).alias("_x"), (line + jitter).alias("_line")))
-    minority = with_bucket(minority, "_line", quantile_bounds(minority, "_line"))
-    w = Window.partitionBy("_bucket").orderBy("_line", key).rowsBetween(-reach, reach)
-    around = minority.withColumn("_near", F.collect_list(F.struct(F.col(key).alias("k"), F.col("_z").alias("z"),
-                                                                  F.col("_x").alias("x"))).over(w))
+    numbered = add_before(with_bucket(minority.withColumn("_one", F.lit(1).cast("bigint")), "_line", bounds_of(minority, "_line")),
+                          {"_place": "_one"}, ["_line", key]).drop("_bucket", "_one")
+    slice_of = lambda place: F.floor(place / max(SLICE, 2 * reach + 1))
+    copies = numbered.withColumn("_slice", F.explode(F.sequence(slice_of(F.greatest(F.col("_place") - reach, F.lit(0))), slice_of(F.col("_place") + reach))))
+    w = Window.partitionBy("_slice").orderBy("_place").rowsBetween(-reach, reach)
+    around = copies.withColumn("_near", F.collect_list(F.struct(F.col(key).alias("k"), F.col("_z").alias("z"), F.col("_x").alias("x"))).over(w))
+    around = around.where(F.col("_slice") == slice_of(F.col("_place")))
     ranked = F.sort_array(F.transform(F.filter("_near", lambda n: n["k"] != F.col(key)), lambda n: F.struct(
         F.aggregate(F.zip_with(n["z"], F.col("_z"), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
         .alias("d"), n["k"].alias("k"), n["x"].alias("x"))))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from leadtime.functions.numeric import safe_numeric
+from leadtime.operators.prefix import rank_values
 
 
 def label_rates(df: DataFrame, label: str, by: Sequence[str]) -> DataFrame:
@@ -80,18 +81,28 @@ def melt(df: DataFrame, columns: Sequence[str], keep: Sequence[str], fill: float
 
 
 def column_profile(df: DataFrame, columns: Sequence[str], side: str,
-                   quantiles: Sequence[float] = (0.25, 0.5, 0.75), accuracy: int = 100_000) -> DataFrame:
-    """Per side and column: rows, share of missing, mean, population std, min, max, quantiles, distinct.
+                   quantiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """Per side and column: rows, share of missing, mean, population std, min, max, exact quantiles, distinct.
 
-    Moments and quantile sketches combine map-side; distinct values are counted
-    in two steps of their own, so a sketch is never built per value.
+    Equal values collapse first; everything else is read from those counts, whose one shuffle all steps share. A quantile
+    is the value at rank ceil(q * n). The std adds up squares around the mean, not around 0.
     """
-    long = melt(df, columns, [side])
-    stats = long.groupBy(side, "feature").agg(
-        F.count("*").alias("n_rows"),
-        F.avg(F.col("value").isNull().cast("double")).alias("null_share"),
-        F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-        *[F.percentile_approx("value", q, accuracy).alias(f"q{int(round(q * 100))}") for q in quantiles])
-    distinct = long.groupBy(side, "feature").agg(F.countDistinct("value").alias("n_distinct"))
-    return stats.join(distinct, [side, "feature"])
+    values = melt(df, columns, [side]).groupBy(side, "feature", "value").agg(F.count("*").alias("_w"))
+    held = F.when(F.col("value").isNotNull(), F.col("_w"))
+    weighted = F.col("value") * F.col("_w")
+    stats = values.groupBy(side, "feature").agg(
+        F.sum("_w").alias("n_rows"), ((F.sum("_w") - F.coalesce(F.sum(held), F.lit(0))) / F.sum("_w")).alias("null_share"),
+        F.try_divide(F.sum(weighted), F.sum(held)).alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"),
+        F.count("value").alias("n_distinct"))
+    centre = stats.select(F.col(side).alias("_s"), F.col("feature").alias("_f"), F.col("mean").alias("_m"))
+    same = F.col(side).eqNullSafe(F.col("_s")) & (F.col("feature") == F.col("_f"))
+    off = F.col("value") - F.col("_m")
+    spread = (values.join(F.broadcast(centre), same).groupBy(side, "feature")  # a row for each side and listed column
+              .agg(F.sqrt(F.try_divide(F.sum(off * off * F.col("_w")), F.sum(held))).alias("std")))
+    names = {f"q{int(round(q * 100))}": f"greatest(ceil(_n * {float(q)!r}D) - 1, 0)" for q in quantiles}
+    ranks = rank_values(values, "value", names, [side, "feature"], "_w").drop("n")
+    out = stats
+    for part in (spread, ranks):
+        part = part.withColumnsRenamed({side: "_s", "feature": "_f"})
+        out = out.join(part, same, "left").drop("_s", "_f")
+    return out.select(side, "feature", "n_rows", "null_share", "mean", "std", "min", "max", *names, "n_distinct")

@@ -192,9 +192,9 @@ def w2(t: Tables):
 WITH g AS (SELECT o_totalprice AS score, count(*) AS n FROM orders GROUP BY 1)
 SELECT score, n, (sum(n) OVER (ORDER BY score) - n)::BIGINT AS before FROM g""")
 def w6(t: Tables):
-    from leadtime.operators.prefix import add_before, quantile_bounds, with_bucket
+    from leadtime.operators.prefix import add_before, bounds_of, with_bucket
     g = t.orders.groupBy(F.col("o_totalprice").alias("score")).agg(F.count("*").alias("n"))
-    g = with_bucket(g, "score", quantile_bounds(t.orders, "o_totalprice"))
+    g = with_bucket(g, "score", bounds_of(g, "score"))
     return add_before(g, {"before": "n"}, ["score"]).select("score", "n", "before")
 
 

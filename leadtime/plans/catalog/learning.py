@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from leadtime.functions.numeric import add_all
 from leadtime.operators import evaluation as ev
 from leadtime.operators import learners as ml
 from leadtime.operators import point_in_time as pit
@@ -100,3 +101,18 @@ def m2_auc(t: Tables):
     rows = ml.add_score(model, ml.assemble(df, FEATURES), "p")
     return ev.validation_metrics(rows, "label", "p", ["split"]).select(
         "split", F.round("auc_roc", 6).alias("auc_roc"), F.round("recall", 6).alias("recall"), "n_samples")
+
+
+@query("m11_oversample_positions", f"""
+WITH {q.COHORT}, {q.LABEL}, n AS (SELECT count(*) AS n, count(l.entity) AS p FROM cohort c LEFT JOIN label l
+  ON c.entity = l.entity AND c.obs_date = l.obs_date)
+SELECT CASE WHEN n > 2 * p THEN n - 2 * p ELSE 0 END AS n_new, 0 AS n_outside, 0 AS n_copies FROM n""")
+def m11_positions(t: Tables):
+    """New rows; those outside the box around the positive rows; those equal to a real row although that row stands alone."""
+    rows = cut_lineage(ml.oversample(labelled(t), "label", FEATURES, "row_id"))
+    real, new = rows.where("NOT synthetic AND label = 1"), rows.where("synthetic")
+    box = real.agg(F.struct(*[F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in FEATURES]).alias("b")).scalar()
+    outside = add_all([(~F.col(c).between(F.col(f"_b.{c}.low") - 1e-6, F.col(f"_b.{c}.high") + 1e-6)).cast("int") for c in FEATURES])
+    alone = real.groupBy(*FEATURES).agg(F.count("*").alias("_same")).where("_same = 1").withColumn("_copy", F.lit(1))
+    return (new.withColumn("_b", box).join(alone, FEATURES, "left")
+            .agg(F.count("*").alias("n_new"), F.count(F.when(outside > 0, 1)).cast("int").alias("n_outside"), F.count("_copy").cast("int").alias("n_copies")))

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import math
 import random
+import statistics
+import struct
 
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -8,7 +11,8 @@ from pyspark.sql import functions as F
 
 from leadtime.operators import ensembles as en
 from leadtime.operators import evaluation as ev
-from leadtime.operators.prefix import exact_quantile
+from leadtime.operators.prefix import exact_quantile, rank_values, with_order_key
+from leadtime.operators.profile import column_profile
 
 # Counts with their precision, recall and F1 (threshold, tn, fp, fn, tp, precision, recall, f1)
 KNOWN = [
@@ -94,12 +98,24 @@ def test_curve_and_sweep_agree_with_counting(scored):
         assert s["fn"] == sum(r[1] == 1 and r[2] < s["threshold"] for r in mine)
 
 
+def ran(df):
+    """The plan that ran, subqueries included, without the plans there were before it ran."""
+    out, skip = [], None
+    for line in df._jdf.queryExecution().executedPlan().toString().split("\n"):
+        at = len(line) - len(line.lstrip(" :+-"))
+        if skip is not None and at >= skip:
+            continue
+        skip = at if "== Initial Plan" in line else None
+        if skip is None:
+            out.append(line)
+    return "\n".join(out)
+
+
 def test_curve_aggregates_the_scores_once(spark, scored, tmp_path):
     scored[0].write.parquet(str(tmp_path / "p"))
     curve = ev.pr_curve(spark.read.parquet(str(tmp_path / "p")), "y", "p")
     curve.collect()
-    plan = curve._jdf.queryExecution().executedPlan().toString()
-    final = plan.split("== Initial Plan")[0]
+    final = ran(curve)
     assert final.count("FileScan") == 1 and "ReusedExchange" in final
 
 
@@ -181,3 +197,81 @@ def test_folds_are_even_and_repeatable(spark):
         assert len(sizes) == 4 and max(sizes) - min(sizes) <= 1
     b = en.assign_folds(df.repartition(7), "y", ["id"], 4)
     assert a.exceptAll(b).count() == 0
+
+
+def doubles(rng, n):
+    """Values of every size and sign, the edges of each binary exponent, and many equal ones."""
+    out = [v for v in (struct.unpack("d", struct.pack("Q", rng.getrandbits(64)))[0] for _ in range(n)) if v == v]
+    out += [x for e in range(-1074, 1024) for x in (2.0 ** e, -math.nextafter(2.0 ** e, 0), math.nextafter(2.0 ** e, math.inf))]
+    return out + [0.0, -0.0, math.inf, -math.inf, 5e-324, 1.7976931348623157e308, -1.7976931348623157e308] + [1.5] * 500 + [-7.0] * 300
+
+
+def test_order_key_is_the_order_of_doubles(spark):
+    for r in with_order_key(spark.createDataFrame([(v,) for v in doubles(random.Random(3), 3000)], "v double"), "v", "k").collect():
+        number = struct.unpack("q", struct.pack("d", abs(r.v)))[0]
+        assert r.k == (-number if r.v < 0 else number)
+    odd = with_order_key(spark.createDataFrame([(None,), (math.nan,)], "v double"), "v", "k").collect()
+    assert [r.k for r in odd] == [None, None]
+
+
+@pytest.mark.parametrize("partitions", [8, 200])
+def test_ranks_are_exact_for_all_groups_at_once(spark, partitions):
+    rng = random.Random(11)
+    rows = [(g, v) for g, n in (("a", 2000), (None, 50), ("one", 0)) for v in (doubles(rng, n) if n else [3.5])] + [("a", None), ("none", None), ("a", math.nan)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(7)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        wanted = {"first": "0", "q1": "floor(_n * 0.25D)", "middle": "floor((_n - 1) / 2)", "last": "_n - 1"}
+        got = {r.g: r for r in rank_values(df, "v", wanted, ["g"]).collect()}
+        whole = rank_values(df, "v", wanted).first()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for r, values in [(got[g], [v for h, v in rows if h == g and v is not None and v == v]) for g in ("a", None, "one")] + [(whole, [v for _, v in rows if v is not None and v == v])]:
+        values.sort()
+        n = len(values)
+        assert (r.n, r["first"], r.q1, r.middle, r["last"]) == (n, values[0], values[n // 4], values[(n - 1) // 2], values[-1])
+    assert set(got) == {"a", None, "one"}
+    assert exact_quantile(df, "v", 0.5, "m", ["g"]).count() == 3
+
+
+def test_weights_count_a_row_several_times(spark):
+    df = spark.createDataFrame([(1.0, 2), (5.0, 1), (9.0, 7)], "v double, w long")
+    r = rank_values(df, "v", {f"r{i}": str(i) for i in range(10)}, weight="w").first()
+    assert [r[f"r{i}"] for i in range(10)] == [1.0, 1.0, 5.0] + [9.0] * 7
+
+
+@pytest.mark.parametrize("partitions", [8, 200])
+def test_column_profile_is_exact(spark, partitions):
+    rng = random.Random(2)
+    rows = [(i % 3 == 0, rng.choice([None, 1e9 + rng.random(), 1e9 + 0.5]), rng.gauss(0, 1), None) for i in range(900)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = {(r.side, r.feature): r for r in column_profile(spark.createDataFrame(rows, "side boolean, a double, b double, c double"), ["a", "b", "c"], "side").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for (side, feature), r in got.items():
+        mine = [x["abc".index(feature) + 1] for x in rows if x[0] == side]
+        held = sorted(v for v in mine if v is not None)
+        assert (r.n_rows, r.n_distinct) == (len(mine), len(set(held))) and r.null_share == pytest.approx(1 - len(held) / len(mine))
+        if held:
+            n = len(held)
+            assert (r["min"], r["max"], r.q25, r.q50, r.q75) == (held[0], held[-1], *(held[math.ceil(n * q) - 1] for q in (0.25, 0.5, 0.75)))
+            assert r["mean"] == pytest.approx(statistics.fmean(held)) and r["std"] == pytest.approx(statistics.pstdev(held), rel=1e-6)
+        else:
+            assert r.q50 is None and r["mean"] is None and r["std"] is None
+    assert len(got) == 6
+
+
+def test_building_a_curve_or_a_rank_starts_no_job(spark, scored):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    try:
+        ev.roc_auc(scored[0], "y", "p")
+        ev.pr_curve(scored[0], "y", "p", ["g"])
+        exact_quantile(scored[0], "p")
+        column_profile(scored[0], ["p"], "g")
+        assert list(tracker.getJobIdsForGroup("building")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -94,3 +94,32 @@ def test_oversample_many_equal_rows_and_single_row(spark):
     one = spark.createDataFrame([("p", 1, 3.0)] + [(f"n{i}", 0, float(i)) for i in range(5)], "key string, y int, a double")
     made = ml.oversample(one, "y", ["a"], "key").where("synthetic").collect()
     assert len(made) == 4 and {r["a"] for r in made} == {3.0}
+
+
+def test_new_rows_do_not_depend_on_partitions(spark):
+    rng = random.Random(8)
+    rows = [(f"k{i}", int(i % 10 == 0), rng.gauss(0, 1), rng.gauss(0, 5)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "key string, y int, a double, b double")
+    real = {(r[2], r[3]) for r in rows}
+    before, made = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (8, 200):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            made.append(sorted((r.key, r.a, r.b) for r in ml.oversample(df, "y", ["a", "b"], "key").where("synthetic").collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert made[0] == made[1] and len(made[0]) == 1600
+    assert not any((a, b) in real for _, a, b in made[0])  # every row has near rows, none is copied
+
+
+def test_near_rows_are_found_across_slices(spark, monkeypatch):
+    rows = [(f"k{i:04}", 1, float(i)) for i in range(300)] + [(f"n{i}", 0, 0.0) for i in range(900)]
+    df = spark.createDataFrame(rows, "key string, y int, a double")
+    whole = None
+    for size in (4096, 25, 1):  # one slice, and slices as short as the reach allows
+        monkeypatch.setattr(ml, "SLICE", size)
+        got = sorted((r.key, r.a) for r in ml.oversample(df, "y", ["a"], "key", neighbours=4, reach=3).where("synthetic").collect())
+        whole = whole or got
+        assert got == whole and len(got) == 600
+    for key, a in whole:
+        assert 0 < abs(a - int(key[1:5])) <= 4
