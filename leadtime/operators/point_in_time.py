@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from leadtime.functions.dates import in_forward, in_lookback, whole_days
+from leadtime.functions.dates import in_forward, whole_days
 from leadtime.functions.numeric import safe_numeric
 
 
@@ -181,10 +181,11 @@ def _measures(features: Sequence[Feature]) -> list[tuple[str, str]]:
     return sorted({(_MEASURES[f.kind], f.source) for f in features})
 
 
-def _segment_rows(group: Sequence[Source], features: Sequence[Feature], lattice: Lattice, key: str, moment: str) -> DataFrame:
+def _segment_rows(group: Sequence[Source], features: Sequence[Feature], lattice: Lattice | None, key: str, moment: str) -> DataFrame:
     """Rows (key, _segment, one column per measure) of sources that share a table, from one scan of it.
 
-    A source with codes adds a row for each (entity, code), in the code's first segment.
+    A source with codes adds a row for each (entity, code), in the code's first segment. Without a lattice each moment is a
+    segment, numbered by its microseconds.
     """
     by = {s.name: s for s in group}
     mine = [f for f in features if f.source in by]
@@ -196,7 +197,11 @@ def _segment_rows(group: Sequence[Source], features: Sequence[Feature], lattice:
     for kind, name in measures:
         if kind == "amt" and by[name].amount is None:
             raise ValueError(f"source {name} has no amount column to sum")
-    events = _scan_bounds(group[0].events, group[0].time, lattice.obs_dates, mine)
+    time, kind = group[0].time, dict(group[0].events.dtypes)[group[0].time]
+    if lattice is None:
+        events, segment = group[0].events.where(F.col(time).isNotNull()), f"unix_micros(CAST(`{time}` AS timestamp))"
+    else:
+        events, segment = _scan_bounds(group[0].events, time, lattice.obs_dates, mine), lattice.segment(f"`{time}`", kind)
     if all(s.where is not None for s in group):
         events = events.where(reduce(lambda a, b: a | b, [s.where for s in group]))
 
@@ -205,33 +210,32 @@ def _segment_rows(group: Sequence[Source], features: Sequence[Feature], lattice:
 
     def value(kind: str, s: Source) -> Column:
         if kind == "n":
-            return F.coalesce(within(s, F.lit(1)), F.lit(0)).cast("long")
+            # a condition even where all rows count: Spark would move a constant into some readers of a shared shuffle only
+            return F.when(F.col(s.time).isNotNull() if s.where is None else s.where, 1).otherwise(0).cast("long")
         if kind == "amt":
             return within(s, safe_numeric(s.amount))
         return within(s, F.col(s.time).cast(moment))
 
     plain = [(kind, name) for kind, name in measures if kind != "codes"]
-    time, kind = group[0].time, dict(events.dtypes)[group[0].time]
-    rows = events.select(F.col(group[0].key).alias(key), F.expr(lattice.segment(f"`{time}`", kind)).alias("_segment"),
+    rows = events.select(F.col(group[0].key).alias(key), F.expr(segment).alias("_segment"),
                          *[value(m, by[name]).alias(f"_{m}_{name}") for m, name in plain],
                          *[within(by[name], F.col(by[name].code)).alias(f"_code_{name}") for name in coded])
     if not coded:
         return rows
-    # the sets of rows (entity, segment) and (entity, code) in one aggregate; a set's number has a bit for every column it lacks
-    cells = [key, "_segment", *[f"_code_{name}" for name in coded]]
-    sets = [[key, "_segment"], *[[key, f"_code_{name}"] for name in coded]]
-    number = [sum(1 << (len(cells) - 1 - i) for i, c in enumerate(cells) if c not in s) for s in sets]
-    if not plain:
-        sets = sets[1:]
-    found = (rows.withColumn("_first", F.col("_segment")).groupingSets(sets, *cells)
-             .agg(F.grouping_id().alias("_set"), F.min("_first").alias("_first"),
-                  *[(F.max if m == "last" else F.sum)(f"_{m}_{name}").alias(f"_{m}_{name}") for m, name in plain]))
-    own = F.col("_set") == number[0]
-    columns = [F.when(own, F.col(f"_{m}_{name}")).alias(f"_{m}_{name}") for m, name in plain]
-    new = {name: (F.col("_set") == n) & F.col(f"_code_{name}").isNotNull() for name, n in zip(coded, number[1:])}
-    columns += [F.when(new[name], 1).otherwise(0).cast("long").alias(f"_codes_{name}") for name in coded]
-    kept = reduce(lambda a, b: a | b, new.values(), own)
-    return found.where(kept).select(key, F.coalesce("_segment", "_first").alias("_segment"), *columns)
+    # an event takes part in the row of its (entity, segment) and in one for each (entity, code), all in one aggregate
+    kinds = dict(rows.dtypes)
+    codes = [f"_code_{name}" for name in coded]
+    none = {c: F.lit(None).cast(kinds[c]) for c in codes}
+    parts = [F.struct(F.lit(0).alias("_set"), F.col("_segment").alias("_cell"), *[none[c].alias(c) for c in codes])] if plain else []
+    parts += [F.struct(F.lit(i + 1).alias("_set"), F.lit(None).cast(kinds["_segment"]).alias("_cell"),
+                       *[(F.col(c) if c == own else none[c]).alias(c) for c in codes]) for i, own in enumerate(codes)]
+    spread = rows.select(key, F.col("_segment").alias("_first"), *[f"_{m}_{name}" for m, name in plain], F.inline(F.array(*parts)))
+    kept = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in codes], F.col("_set") == 0)
+    found = spread.where(kept).groupBy(key, "_set", "_cell", *codes).agg(
+        F.min("_first").alias("_first"), *[(F.max if m == "last" else F.sum)(f"_{m}_{name}").alias(f"_{m}_{name}") for m, name in plain])
+    columns = [F.when(F.col("_set") == 0, F.col(f"_{m}_{name}")).alias(f"_{m}_{name}") for m, name in plain]
+    columns += [(F.col("_set") == i + 1).cast("long").alias(f"_codes_{name}") for i, name in enumerate(coded)]
+    return found.select(key, F.coalesce("_cell", "_first").alias("_segment"), *columns)
 
 
 def _aggregate(f: Feature) -> Column:
@@ -245,9 +249,8 @@ def _aggregate(f: Feature) -> Column:
     return F.expr(shape.get(f.kind, "sum(CASE WHEN {0} THEN coalesce({1}, 0L) ELSE 0L END)").format(inside, value)).alias(f.name)
 
 
-def entity_features(sources: Sequence[Source], features: Sequence[Feature], obs_dates: Sequence[date],
-                    key: str, obs: str = "obs_date") -> DataFrame:
-    """All features of the (entity, date) pairs that have at least one relevant event."""
+def _cells(sources: Sequence[Source], features: Sequence[Feature], lattice: Lattice | None, key: str) -> DataFrame:
+    """One row per entity and segment with the measures of all sources."""
     used = [s for s in sources if any(f.source == s.name for f in features)]
     unknown = {f.source for f in features} - {s.name for s in used}
     if unknown:
@@ -255,7 +258,6 @@ def entity_features(sources: Sequence[Source], features: Sequence[Feature], obs_
     groups: dict[tuple, list[Source]] = {}
     for s in used:
         groups.setdefault((id(s.events), s.key, s.time), []).append(s)
-    lattice = Lattice(obs_dates, features)
     # the last moments of a day are told apart only where a source has them
     moment = "date" if all(dict(s.events.dtypes)[s.time] == "date" for s in used) else "timestamp"
     whole = None
@@ -263,7 +265,14 @@ def entity_features(sources: Sequence[Source], features: Sequence[Feature], obs_
         part = _segment_rows(group, features, lattice, key, moment)
         whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
     names = [f"_{m}_{name}" for m, name in _measures(features)]
-    cells = whole.groupBy(key, "_segment").agg(*[(F.max if n.startswith("_last_") else F.sum)(n).alias(n) for n in names])
+    return whole.groupBy(key, "_segment").agg(*[(F.max if n.startswith("_last_") else F.sum)(n).alias(n) for n in names])
+
+
+def entity_features(sources: Sequence[Source], features: Sequence[Feature], obs_dates: Sequence[date],
+                    key: str, obs: str = "obs_date") -> DataFrame:
+    """All features of the (entity, date) pairs that have at least one relevant event."""
+    lattice = Lattice(obs_dates, features)
+    cells = _cells(sources, features, lattice, key)
     dated = cells.withColumn("_d", F.expr(f"explode({lattice.date_table()})")).where("_segment BETWEEN _d.low AND _d.high")
     out = dated.groupBy(key, F.col("_d.obs").alias(obs)).agg(*[_aggregate(f) for f in features])
     days = {f.name: whole_days(F.col(f.name), F.col(obs)) for f in features if f.kind == "recency"}
@@ -278,59 +287,56 @@ def point_in_time(cohort: DataFrame, sources: Sequence[Source], features: Sequen
 
 
 def point_in_time_any_dates(cohort: DataFrame, sources: Sequence[Source], features: Sequence[Feature],
-                            key: str, obs: str = "obs_date") -> DataFrame:
-    """The same features where every cohort row has its own date and the dates cannot be listed.
+                            key: str, obs: str = "obs_date", slice_days: int = 30) -> DataFrame:
+    """The same features and labels where every cohort row has its own date and the dates cannot be listed.
 
-    Events are first reduced to one row per (entity, day): observation dates
-    are whole days, so no window boundary can fall inside one. The equi-join on
-    the entity then meets at most one row per day, even for the heaviest entity.
+    Each (entity, date) puts a few probes among the entity's moments: at the date and at its windows' borders. A
+    feature is the difference of running totals at two probes, so nothing is copied into windows. An entity's time is
+    cut into slices of ``slice_days``; totals run inside a slice, and what the slices before it
+    add up to comes from a table with one row per entity and slice. So no task holds a whole entity.
     """
-    whole = None
-    for source in sources:
-        mine = [f for f in features if f.source == source.name]
-        if not mine:
-            continue
-        plain = [f for f in mine if f.kind != "distinct"]
-        events = source.events if source.where is None else source.events.where(source.where)
-        if plain:
-            amount = safe_numeric(source.amount) if source.amount else F.lit(None).cast("double")
-            part = (events.where(F.col(source.time).isNotNull())
-                    .groupBy(F.col(source.key).alias(key), F.to_date(source.time).alias("_day"))
-                    .agg(F.count("*").alias("_n"), F.sum(amount).alias("_amt"),
-                         F.max(source.time).cast("timestamp").alias("_ts"))
-                    .withColumn("_src", F.lit(source.name)))
-            whole = part if whole is None else whole.unionByName(part)
-        if any(f.kind == "distinct" for f in mine):
-            part = (events.where(F.col(source.code).isNotNull() & F.col(source.time).isNotNull())
-                    .groupBy(F.col(source.key).alias(key), F.col(source.code).alias("_code"))
-                    .agg(F.min(source.time).alias("_first"))
-                    .groupBy(key, F.to_date("_first").alias("_day"))
-                    .agg(F.count("*").alias("_n"), F.lit(None).cast("double").alias("_amt"),
-                         F.max("_first").cast("timestamp").alias("_ts"))
-                    .withColumn("_src", F.lit(source.name + "#codes")))
-            whole = part if whole is None else whole.unionByName(part)
-
-    ts, day = F.col("_ts"), F.col(obs).cast("timestamp")
-    aggregates = []
-    for f in features:
-        here = F.col("_src") == F.lit(f.source + "#codes" if f.kind == "distinct" else f.source)
+    names = [f"_{m}_{name}" for m, name in _measures(features)]
+    cells = _cells(sources, features, None, key)
+    back, ahead, day = _months_back(features), _months_ahead(features), f"CAST(`{obs}` AS date)"
+    # (name, day, whether the moment itself still counts)
+    borders = [("at", day, False)] + [(f"back_{m}", f"add_months({day}, {-m})", False) for m in back]
+    borders += [("from", day, True)] * bool(ahead) + [(f"ahead_{m}", f"add_months({day}, {m})", True) for m in ahead]
+    each = ", ".join(f"named_struct('name', '{n}', 'at', unix_micros(CAST({d} AS timestamp)), 'after', {2 if after else 0})" for n, d, after in borders)
+    probes = (cohort.select(key, obs).where(F.col(obs).isNotNull()).distinct().withColumn("_p", F.expr(f"explode(array({each}))"))
+              .select(key, F.col(obs).alias("_obs"), F.col("_p.name").alias("_probe"), F.col("_p.at").alias("_segment"), F.col("_p.after").alias("_turn")))
+    # of one moment: probes that leave it out, its events, probes that take it in
+    line = (cells.withColumn("_turn", F.lit(1)).unionByName(probes, allowMissingColumns=True)
+            .withColumn("_slice", F.coalesce(F.floor(F.col("_segment") / F.lit(slice_days * 86_400_000_000)), F.lit(0))))  # never NULL, see prefix
+
+    def total(name: str, column: str) -> Column:
+        return (F.max if name.startswith("_last_") else F.sum)(column)
+
+    def together(name: str, a: Column, b: Column) -> Column:
+        if name.startswith("_last_"):
+            return F.greatest(a, b)
+        zero = F.lit(0.0 if name.startswith("_amt_") else 0)
+        return F.coalesce(a, zero) + F.coalesce(b, zero)
+
+    inside = Window.partitionBy(key, "_slice").orderBy("_segment", "_turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ran = line.withColumns({f"_in{n}": total(n, n).over(inside) for n in names}).where(F.col("_probe").isNotNull())
+    earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = line.groupBy(key, "_slice").agg(*[total(n, n).alias(n) for n in names])
+    carried = slices.select(key, "_slice", *[total(n, n).over(earlier).alias(f"_to{n}") for n in names])
+    met = ran.join(carried, [key, "_slice"]).select(
+        key, "_obs", "_probe", *[together(n, F.col(f"_in{n}"), F.col(f"_to{n}")).alias(n) for n in names])
+    needed = {f"{probe}{n}": F.max(F.when(F.col("_probe") == probe, F.col(n))).alias(f"{probe}{n}") for probe, _, _ in borders for n in names}
+    wide = met.groupBy(key, F.col("_obs").alias(obs)).agg(*needed.values())
+
+    def value(f: Feature) -> Column:
+        n = f"_{_MEASURES[f.kind]}_{f.source}"
         if f.kind == "trailing":
-            out = F.sum(F.when(here & in_lookback(F.col("_day"), F.col(obs), f.months), F.col("_n")))
-        elif f.kind in ("ahead", "ahead_count"):
-            # midnight of obs itself is no later event, every other time of that day is
-            raise ValueError("labels need listed observation dates")
-        elif f.kind in ("count", "distinct"):
-            out = F.sum(F.when(here & (F.col("_day") < F.col(obs)), F.col("_n")))
-        elif f.kind == "sum":
-            out = F.sum(F.when(here & (F.col("_day") < F.col(obs)), F.col("_amt")))
-        else:
-            out = F.max(F.when(here & (ts < day), ts))
-        aggregates.append(out.alias(f.name))
-    pairs = cohort.select(key, obs).distinct()
-    found = (pairs.join(whole, key).where(F.col("_day") < F.col(obs))
-             .groupBy(key, obs).agg(*aggregates))
-    days = {f.name: whole_days(F.col(f.name), F.col(obs)) for f in features if f.kind == "recency"}
-    found = found.withColumns(days) if days else found
+            return F.col(f"at{n}") - F.col(f"back_{f.months}{n}")
+        if f.kind in ("ahead", "ahead_count"):
+            later = F.col(f"ahead_{f.months}{n}") - F.col(f"from{n}")
+            return later if f.kind == "ahead_count" else (later > 0).cast("int")
+        return whole_days(F.col(f"at{n}"), F.col(obs)) if f.kind == "recency" else F.col(f"at{n}")
+
+    found = wide.select(key, obs, *[value(f).alias(f.name) for f in features])
     return (cohort.join(found, [key, obs], "left")
             .withColumns({f.name: F.coalesce(F.col(f.name), F.lit(0)) for f in features}))
 

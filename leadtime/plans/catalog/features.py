@@ -131,6 +131,24 @@ def j4_any(t: Tables):
     return cents(text_dates(pit.point_in_time_any_dates(people, t.sources, wanted, KEY)), "spent")
 
 
+@query("j4_any_dates_label", f"""
+WITH {q.LINES}, people AS (SELECT o_custkey AS entity, median(epoch(o_orderdate)) AS m FROM orders GROUP BY 1),
+own AS (SELECT entity, (TIMESTAMP '1970-01-01' + to_seconds(m::BIGINT))::DATE AS obs_date FROM people),
+f AS (SELECT p.entity, p.obs_date, count(*) FILTER (WHERE l_shipdate < p.obs_date) AS n_before,
+  count(*) FILTER (WHERE l_shipdate < p.obs_date AND l_shipdate >= p.obs_date - INTERVAL 12 MONTH) AS n_12m,
+  count(*) FILTER (WHERE l_shipdate > p.obs_date AND l_shipdate <= p.obs_date + INTERVAL 6 MONTH) AS n_next,
+  max(CASE WHEN l_returnflag = 'R' AND l_shipdate > p.obs_date AND l_shipdate <= p.obs_date + INTERVAL 6 MONTH THEN 1 ELSE 0 END) AS label
+  FROM own p JOIN lines l ON l.entity = p.entity GROUP BY 1, 2)
+SELECT p.entity, p.obs_date::VARCHAR AS obs_date, coalesce(n_before, 0) AS n_before, coalesce(n_12m, 0) AS n_12m,
+  coalesce(n_next, 0) AS n_next, coalesce(label, 0) AS label FROM own p LEFT JOIN f USING (entity)""")
+def j4_any_label(t: Tables):
+    middle = F.percentile(F.unix_seconds(F.col("o_orderdate").cast("timestamp")), 0.5)
+    people = t.orders.groupBy(F.col("o_custkey").alias(KEY)).agg(F.to_date(F.timestamp_seconds(F.round(middle))).alias("obs_date"))
+    wanted = [pit.count_before("prescription", "n_before"), pit.count_trailing("prescription", 12, "n_12m"),
+              pit.count_ahead("prescription", 6, "n_next"), pit.event_ahead("outpatient", 6, "label")]
+    return text_dates(pit.point_in_time_any_dates(people, t.sources, wanted, KEY))
+
+
 # --- aggregates
 
 @query("a1_count_before", feats_sql("NB_HOSP_PASSEES"))

@@ -193,3 +193,43 @@ def test_moments_on_a_border_and_codes_of_several_sources(spark):
     cohort = spark.createDataFrame([("a", date(2008, 1, 1)), ("b", date(2008, 1, 1))], "id string, obs_date date")
     got = {r.id: (r.n, r.n3, r["ahead"], r.codes, r.others, r.amt) for r in pit.point_in_time(cohort, two, wanted, [date(2008, 1, 1)], "id").collect()}
     assert got == {"a": (3, 2, 2, 2, 2, 7.0), "b": (0, 0, 0, 0, 0, 0.0)}
+
+
+@pytest.mark.parametrize("slice_days", [1, 30, 10_000])
+def test_own_dates_with_labels_against_brute_force(spark, frame, events, slice_days):
+    rng = random.Random(3)
+    ids = sorted({r[0] for r in events})[:12] + ["hot", "nobody"]
+    pairs = [(i, date(2006, 1, 1) + timedelta(rng.randrange(1800))) for i in ids for _ in range(5)] + [("hot", date(2008, 2, 29)), ("hot", None)]
+    cohort = spark.createDataFrame(pairs, "id string, obs_date date")
+    wanted = [*FEATURES, pit.event_ahead("all", 6, "y"), pit.count_ahead("all", 6, "ny"), pit.count_ahead("some", 1, "soon")]
+    got = pit.point_in_time_any_dates(cohort, sources(frame), wanted, "id", slice_days=slice_days).withColumn("amt", F.round("amt", 2)).collect()
+    assert len(got) == len(pairs)
+    for r in got:
+        if r.obs_date is None:
+            assert (r.n, r.y) == (0, 0)
+            continue
+        back, d = {}, r.obs_date
+        mine = [e for e in events if e[0] == r.id and e[1] is not None]
+        obs, at = datetime(d.year, d.month, d.day), lambda m: datetime.combine(pit._shifted(d, m), datetime.min.time())
+        past = [e for e in mine if e[1] < obs]
+        back = dict(n=len(past), n3=sum(e[1] >= at(-3) for e in past), n12=sum(e[1] >= at(-12) and e[4] != 0 for e in past), amt=round(sum(e[2] for e in past), 2),
+                    codes=len({e[3] for e in past if e[3]}), days=(obs - max(e[1] for e in past)).days if past else 0,
+                    ny=sum(obs < e[1] <= at(6) for e in mine), soon=sum(obs < e[1] <= at(1) and e[4] != 0 for e in mine))
+        back["y"] = int(back["ny"] > 0)
+        assert {k: r[k] for k in back} == back
+
+
+def test_own_dates_read_a_table_once_and_split_a_hot_entity(spark, tmp_path):
+    rows = [("hot" if i % 3 else f"e{i % 50}", datetime(2000, 1, 1) + timedelta(hours=5 * i), f"c{i % 11}") for i in range(6000)]
+    spark.createDataFrame(rows, "id string, ts timestamp, code string").write.parquet(str(tmp_path / "e"))
+    df = spark.read.parquet(str(tmp_path / "e"))
+    cohort = spark.createDataFrame([("hot", date(2001, 5, 5)), ("e1", date(2002, 5, 5))], "id string, obs_date date")
+    out = pit.point_in_time_any_dates(cohort, [pit.Source("x", df, "id", "ts", code="code")],
+                                      [pit.count_before("x", "n"), pit.distinct_before("x", "codes"), pit.event_ahead("x", 1, "y")], "id")
+    out.collect()
+    from test_evaluation import ran
+
+    plan = ran(out)
+    assert sum("FileScan" in line for line in plan.split("\n")) == 1 and "ReusedExchange" in plan
+    spread = [line for line in plan.split("\n") if "Window [" in line and "_turn" in line]
+    assert spread and all("_slice" in line.split("ASC")[0] for line in spread)
