@@ -55,6 +55,17 @@ def fit_boosted_trees(df: DataFrame, features: Sequence[str], label: str, is_val
     return boosted_trees(label, validation=is_validation, **options).fit(assemble(df, features))
 
 
+def loss_curve(model: Model, df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """(round, loss, chosen) of boosted trees on given rows: the loss after every kept round, and which round scoring stops at.
+
+    Early stopping keeps the rounds up to the smallest validation loss, so the last kept round is the chosen one. Losses are computed on the
+    cluster; the driver holds one number a round.
+    """
+    losses = model.evaluateEachIteration(assemble(df, features).withColumn(label, F.col(label).cast("double")))
+    rows = [(i + 1, float(loss), i + 1 == len(losses)) for i, loss in enumerate(losses)]
+    return df.sparkSession.createDataFrame(rows, "round int, loss double, chosen boolean")
+
+
 def logistic_regression(label: str, penalty: float = 0.0, weight: str | None = None,
                         rounds: int = 3000) -> LogisticRegression:
     lr = LogisticRegression(featuresCol=VECTOR, labelCol=label, maxIter=rounds, regParam=penalty,
@@ -94,6 +105,7 @@ class Stacking:
         self.models, self.features, self.label, self.keys = dict(models), list(features), label, list(keys)
         self.meta, self.folds, self.seed, self.ridge_alpha = meta, folds, seed, ridge_alpha
         self.fitted: dict[str, Model] = {}
+        self.failed: dict[str, Exception] = {}
 
     def fit(self, df: DataFrame) -> "Stacking":
         names = list(self.models)
@@ -108,7 +120,14 @@ class Stacking:
                                      regParam=self.ridge_alpha / max(oof.count(), 1), standardization=False)
             self.meta_model = ridge.fit(assemble(level, names))
         whole = assemble(df, self.features)
-        self.fitted = {name: estimator.fit(whole) for name, estimator in self.models.items()}
+        self.fitted, self.failed = {}, {}
+        for name, estimator in self.models.items():
+            try:
+                self.fitted[name] = estimator.fit(whole)
+            except Exception as e:  # the other models go on; transform() scores this one as undecided
+                self.failed[name] = e
+        if not self.fitted:
+            raise next(iter(self.failed.values()))
         return self
 
     def transform(self, df: DataFrame, name: str = "p_stack") -> DataFrame:

@@ -91,6 +91,19 @@ def missing_columns(df: DataFrame, rules: Mapping[str, Mapping]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "check string, column string, severity string, message string")
 
 
+def missing_fields(df: DataFrame, by: str, document: str, required: Sequence[str]) -> DataFrame:
+    """(by, field, n_rows, n_missing, severity) of required fields of a JSON column that rows of a kind lack.
+
+    An error where no row of the kind has the field, a warning where some rows lack it. One aggregate, combined map-side.
+    """
+    held = F.from_json(document, "map<string,string>")
+    has = {f: F.coalesce(F.map_contains_key(held, F.lit(f)), F.lit(False)) for f in required}
+    counts = df.groupBy(by).agg(F.count("*").alias("n_rows"), *[F.count(F.when(~h, 1)).alias(f"_m_{i}") for i, h in enumerate(has.values())])
+    table = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"_m_{i}").alias("n_missing")) for i, f in enumerate(required)])
+    rows = counts.select(by, "n_rows", F.explode(table).alias("_f")).select(by, "_f.field", "n_rows", "_f.n_missing").where("n_missing > 0")
+    return rows.withColumn("severity", F.when(F.col("n_missing") == F.col("n_rows"), "error").otherwise("warning"))
+
+
 def quality_score(issues: DataFrame) -> DataFrame:
     errors = F.count(F.when(F.col("severity") == "error", 1))
     warnings = F.count(F.when(F.col("severity") == "warning", 1))

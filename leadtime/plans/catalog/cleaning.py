@@ -12,6 +12,7 @@ from leadtime.operators.prefix import exact_quantile
 from leadtime.plans.bindings import KEY, OBS_YEARS, URGENT, Tables
 from leadtime.plans.catalog import query
 from leadtime.plans.catalog import sql as q
+from leadtime.plans.cleaning_job import clean_events, cleaning_profile
 from leadtime.session import scratch_path
 from leadtime.sources.tables import read_split, read_tables, write_table
 
@@ -240,22 +241,22 @@ def fn_json(t: Tables):
 
 
 @query("u1_union_shards", "SELECT l_orderkey, l_linenumber, l_returnflag, "
-       "CASE WHEN l_returnflag = 'A' THEN l_tax END AS l_tax FROM lineitem WHERE l_returnflag IN ('A', 'N')")
+       "CASE WHEN l_returnflag = 'A' THEN l_tax END AS l_tax FROM lineitem")
 def u1(t: Tables):
     base = ["l_orderkey", "l_linenumber", "l_returnflag"]
     a = t.lineitem.where(F.col("l_returnflag") == "A").select(*base, "l_tax")
-    n = t.lineitem.where(F.col("l_returnflag") == "N").select(*base)
-    return op.union_all([a, n])
+    rest = [t.lineitem.where(F.col("l_returnflag") == flag).select(*base) for flag in ("N", "R")]
+    return op.union_all([a, *rest])
 
 
-@query("u2_union_years", "SELECT year(o_orderdate)::INTEGER AS year, count(*) AS n_orders FROM orders "
-       "WHERE year(o_orderdate) IN (1997, 1998, 1999) GROUP BY 1")
+@query("u2_union_years", "SELECT year(o_orderdate)::INTEGER AS year, count(*) AS n_orders FROM orders GROUP BY 1")
 def u2(t: Tables):
     def of(y):
         day = F.col("o_orderdate")
         return t.orders.where((day >= F.lit(f"{y}-01-01").cast("date")) & (day < F.lit(f"{y + 1}-01-01").cast("date"))) \
             .select(F.lit(y).alias("year"))
-    return op.union_all([of(y) for y in OBS_YEARS]).groupBy("year").agg(F.count("*").alias("n_orders"))
+    years = [r[0] for r in t.orders.select(F.year("o_orderdate")).distinct().collect()]
+    return op.union_all([of(y) for y in sorted(years)]).groupBy("year").agg(F.count("*").alias("n_orders"))
 
 
 @query("u4_absent_keys", f"SELECT c_custkey FROM customer WHERE c_custkey NOT IN "
@@ -272,3 +273,36 @@ SELECT matched, count(*) AS n FROM (
 def j7(t: Tables):
     paired = op.pair_by_key(t.documents.select("doc_id", "n_chars"), t.labels.select("doc_id", "quality"), ["doc_id"])
     return paired.groupBy("matched").agg(F.count("*").alias("n"))
+
+
+# --- the cleaning job over raw files with junk dates and broken lines, all flags
+
+_JUNK = """CASE l_linenumber % 7 WHEN 0 THEN 'nan' WHEN 1 THEN strftime(l_shipdate, '%Y%m%d') || '.0' WHEN 2 THEN '' WHEN 3 THEN '20101399'
+  ELSE strftime(l_shipdate, '%Y%m%d') END"""
+
+
+@query("clean_pipeline", f"""
+WITH raw AS (SELECT l_returnflag AS "table", l_partkey % 50 = 0 AS broken, l_extendedprice AS amt,
+  coalesce(try_strptime(regexp_replace({_JUNK}, '\\.0$', ''), '%Y%m%d'),
+    CASE WHEN l_linenumber % 2 = 0 THEN l_shipdate END)::DATE AS d, o_orderstatus <> 'P' AS mine
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT "table", count(*) FILTER (WHERE NOT broken AND mine) AS n_rows, count(d) FILTER (WHERE NOT broken AND mine) AS n_valid,
+  min(d) FILTER (WHERE NOT broken AND mine)::VARCHAR AS first_time, max(d) FILTER (WHERE NOT broken AND mine)::VARCHAR AS last_time,
+  round(sum(amt) FILTER (WHERE NOT broken AND mine), 2) AS amount, count(*) FILTER (WHERE broken) AS n_rejected FROM raw GROUP BY 1""")
+def clean_job(t: Tables):
+    root, out = scratch_path(t.spark, "raw"), scratch_path(t.spark, "clean")
+    day = F.date_format("l_shipdate", "yyyyMMdd")
+    kind = F.col("l_linenumber") % 7
+    text = F.when(kind == 0, "nan").when(kind == 1, F.concat(day, F.lit(".0"))).when(kind == 2, "").when(kind == 3, "20101399").otherwise(day)
+    price = F.when(F.col("l_partkey") % 50 == 0, "n/a").otherwise(F.col("l_extendedprice").cast("string"))
+    fallback = F.when(F.col("l_linenumber") % 2 == 0, day).otherwise("")
+    line = F.concat_ws(",", F.col("l_orderkey").cast("string"), text, fallback, price).alias("value")
+    # one directory of raw lines for each flag, as yearly or split deliveries come
+    t.lineitem.select(line, F.col("l_returnflag").alias("shard")).write.partitionBy("shard").text(root)
+    cohort = t.orders.where(F.col("o_orderstatus") != "P").select(F.col("o_orderkey").cast("string").alias("key"))
+    flags = ("A", "N", "R")
+    clean_events(t.spark, {f: [f"{root}/shard={f}"] for f in flags}, "key string, from_dt string, thru_dt string, amt double", out, "key",
+                 ["from_dt", "thru_dt"], cohort)
+    df = cleaning_profile(t.spark, flags, out, "amt")
+    return df.select("table", "n_rows", "n_valid", F.col("first_time").cast("string").alias("first_time"),
+                     F.col("last_time").cast("string").alias("last_time"), F.round("amount", 2).alias("amount"), "n_rejected")

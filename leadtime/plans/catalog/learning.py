@@ -43,6 +43,18 @@ def m1(t: Tables):
     return scored(ml.add_score(model, ml.assemble(df, FEATURES), "p_trees"), "p_trees")
 
 
+@query("m1_loss_curve", "SELECT true AS chosen_is_smallest, true AS stopped_early, true AS falls, 1 AS n_chosen")
+def m1_curve(t: Tables):
+    """300 rounds offered: the chosen round has the smallest validation loss, and there are fewer rounds than offered."""
+    df = labelled(t)
+    fit_rows = df.where(F.col("split") != "test").withColumn("is_val", F.col("split") == "val")
+    model = ml.fit_boosted_trees(fit_rows, FEATURES, "label", "is_val", rounds=300, depth=3, step=0.3)
+    curve = ml.loss_curve(model, df.where(F.col("split") == "val"), FEATURES, "label")
+    chosen, first = F.max(F.when(F.col("chosen"), F.col("loss"))), F.min(F.when(F.col("round") == 1, F.col("loss")))
+    return curve.agg((chosen <= F.min("loss") + 1e-12).alias("chosen_is_smallest"), (F.max("round") < 300).alias("stopped_early"),
+                     (chosen <= first).alias("falls"), F.count(F.when(F.col("chosen"), 1)).cast("int").alias("n_chosen"))
+
+
 @query("m2_balanced_logistic")
 def m2(t: Tables):
     df = labelled(t)

@@ -56,6 +56,19 @@ def q1(t: Tables):
     return quality.missing_columns(t.lineitem, RULES).select("check", "column", "severity", rows.alias("n_rows"))
 
 
+_HELD = "CASE WHEN event_type = 'error' AND user_id % 3 = 0 THEN NULL WHEN event_type = 'view' THEN '{\"n\": 1}' ELSE props END"
+
+
+@query("q1_missing_fields", f"""
+WITH r AS (SELECT event_type, {_HELD} AS doc FROM events), f AS (SELECT event_type, 'k' AS field, count(*) AS n_rows,
+  count(*) FILTER (WHERE coalesce(json_extract(doc, '$.k') IS NULL, true)) AS n_missing FROM r GROUP BY 1
+  UNION ALL SELECT event_type, 'n', count(*), count(*) FILTER (WHERE coalesce(json_extract(doc, '$.n') IS NULL, true)) FROM r GROUP BY 1)
+SELECT event_type, field, n_rows, n_missing, CASE WHEN n_missing = n_rows THEN 'error' ELSE 'warning' END AS severity FROM f WHERE n_missing > 0""")
+def q1_fields(t: Tables):
+    rows = t.events.withColumn("doc", F.expr(_HELD))
+    return quality.missing_fields(rows, "event_type", "doc", ["k", "n"])
+
+
 @query("q2_fractional_values", "SELECT 'l_quantity' AS \"column\", count(*) FILTER (WHERE l_quantity % 1 <> 0) AS n_fractional "
        "FROM lineitem UNION ALL SELECT 'l_extendedprice', count(*) FILTER (WHERE l_extendedprice % 1 <> 0) FROM lineitem")
 def q2(t: Tables):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leadtime.operators import drift
+from leadtime.operators.cleaning import union_all
 from leadtime.operators.scaling import fit_scaler
 from leadtime.plans.bindings import KEY, OBS_YEARS, Tables
 from leadtime.plans.catalog import query
@@ -26,14 +27,14 @@ def s1(t: Tables):
     return read_entity_years(t.spark, f"{root}/*", "entity bigint, c_acctbal double", "year").select(KEY, "year", "c_acctbal")
 
 
-@query("s2_event_csv_scan", "SELECT l_orderkey, l_partkey, l_returnflag FROM lineitem WHERE l_returnflag IN ('A', 'N')")
+@query("s2_event_csv_scan", "SELECT l_orderkey, l_partkey, l_returnflag FROM lineitem")
 def s2(t: Tables):
     root = scratch_path(t.spark, "csv")
-    for shard in ("A", "N"):
+    for shard in ("A", "N", "R"):
         (t.lineitem.where(F.col("l_returnflag") == shard).select("l_orderkey", "l_partkey", "l_returnflag")
          .write.option("header", True).csv(f"{root}/carrier_{shard}"))
     schema = "l_orderkey bigint, l_partkey bigint, l_returnflag string"
-    tables = read_event_tables(t.spark, {"carrier": [f"{root}/carrier_A", f"{root}/carrier_N"]}, {"carrier": schema})
+    tables = read_event_tables(t.spark, {"carrier": [f"{root}/carrier_{x}" for x in ("A", "N", "R")]}, {"carrier": schema})
     return tables["carrier"]
 
 
@@ -45,21 +46,22 @@ def s8(t: Tables):
         F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
-@query("s9_latest_version", "SELECT o_orderkey, o_totalprice, 0.0::DOUBLE AS not_there FROM orders WHERE o_orderstatus = 'O'")
+@query("s9_latest_version", "SELECT o_orderkey, o_totalprice, 0.0::DOUBLE AS not_there FROM orders")
 def s9(t: Tables):
     table = FeatureTable(t.spark, scratch_path(t.spark, "features"))
-    for status in ("F", "O"):
-        table.save(t.orders.where(F.col("o_orderstatus") == status).select("o_orderkey", "o_totalprice"))
+    for states in (["F"], ["F", "O"], ["F", "O", "P"]):  # the table as it grows
+        table.save(t.orders.where(F.col("o_orderstatus").isin(states)).select("o_orderkey", "o_totalprice"))
     return table.load(["o_orderkey", "o_totalprice", "not_there"])
 
 
 @query("k4_version_records", """
 SELECT 1 AS version, -1 AS previous_version, count(*) AS n_rows, 2 AS n_columns FROM orders WHERE o_orderstatus = 'F'
-UNION ALL SELECT 2, 1, count(*), 2 FROM orders WHERE o_orderstatus = 'O'""")
+UNION ALL SELECT 2, 1, count(*), 2 FROM orders WHERE o_orderstatus IN ('F', 'O')
+UNION ALL SELECT 3, 2, count(*), 2 FROM orders""")
 def k4(t: Tables):
     table = FeatureTable(t.spark, scratch_path(t.spark, "features"))
-    for status in ("F", "O"):
-        rows = t.orders.where(F.col("o_orderstatus") == status).select("o_orderkey", "o_totalprice")
+    for states in (["F"], ["F", "O"], ["F", "O", "P"]):
+        rows = t.orders.where(F.col("o_orderstatus").isin(states)).select("o_orderkey", "o_totalprice")
         table.save(rows, fit_scaler(rows, ["o_totalprice"]))
     return table.versions().select("version", "previous_version", "n_rows", "n_columns").fillna(-1)
 
@@ -79,7 +81,7 @@ def yearly_report(t: Tables, year: int):
     return reports.with_run(report, str(year))
 
 
-_YEARS = (1996, 1997)
+_YEARS = (1996, 1997, 1998, 1999, 2000, 2001)
 
 
 _HISTORY = "WITH y(run) AS (VALUES " + ", ".join(f"('{y}')" for y in _YEARS) + """),
@@ -93,22 +95,40 @@ s AS (SELECT run, least(greatest(n_ref / sum(n_ref) OVER w, 0.0001), 1.0) AS e,
 SELECT run, 1::BIGINT AS n_features, round(sum((a - e) * ln(a / e)), 4) AS max_psi FROM s GROUP BY 1"""
 
 
-@query("s11_report_sink", f"SELECT * FROM ({_HISTORY}) WHERE run = '1997'")
+@query("s11_report_sink", f"SELECT * FROM ({_HISTORY}) WHERE run = '2001'")
 def s11(t: Tables):
     path = scratch_path(t.spark, "report")
-    for year in _YEARS:  # the second report replaces the first
+    for year in _YEARS:  # each report replaces the one before
         reports.write_report(yearly_report(t, year), path)
     return reports.read_report(t.spark, path, _REPORT).select("run", "n_features", "max_psi")
 
 
-@query("s13_absent_report", "SELECT count(*) AS n_orders, true AS retrain, 'no production model available' AS reasons FROM orders")
+_MANY = "(SELECT quantile_disc(n, 0.5) FROM (SELECT count(*) AS n FROM orders GROUP BY year(o_orderdate)))"
+
+
+@query("s13_absent_report", f"""
+WITH y AS (SELECT year(o_orderdate)::INTEGER AS year, count(*) AS n_orders, sum((o_orderstatus = 'F')::INTEGER) / count(*) AS recall
+  FROM orders GROUP BY 1), r AS (SELECT *, n_orders >= {_MANY} AS reported FROM y)
+SELECT year, n_orders, reported, NOT reported OR recall < 0.85 AS retrain, CASE WHEN NOT reported THEN 'no production model available'
+  WHEN recall < 0.85 THEN 'recall ' || printf('%.4f', recall) || ' < 0.85' ELSE '' END AS reasons FROM r""")
 def s13(t: Tables):
-    schema = "model_available boolean, recall double"
-    absent = reports.read_report(t.spark, scratch_path(t.spark, "nothing"), schema, {"model_available": False})
-    none = reports.read_report(t.spark, scratch_path(t.spark, "nothing"), "drift_detected boolean, n_drifted bigint, max_psi double",
-                               {"drift_detected": False})
-    n = t.orders.agg(F.count("*").alias("n")).scalar()
-    return drift.retrain_decision(none, absent).select(n.alias("n_orders"), "retrain", F.concat_ws("|", "reasons").alias("reasons"))
+    """Every year's decision from its stored report; years with few orders have none, and the default decides."""
+    place, schema = scratch_path(t.spark, "performance"), "model_available boolean, recall double"
+    years = t.orders.groupBy(F.year("o_orderdate").alias("year")).agg(
+        F.count("*").alias("n_orders"), F.avg((F.col("o_orderstatus") == "F").cast("double")).alias("recall")).orderBy("year").collect()
+    many = sorted(r["n_orders"] for r in years)[(len(years) + 1) // 2 - 1]
+    none = reports.read_report(t.spark, f"{place}/drift", "drift_detected boolean, n_drifted bigint, max_psi double", {"drift_detected": False})
+    out = []
+    for r in years:  # a year each, as the monthly job would run
+        path = f"{place}/run={r['year']}"
+        if r["n_orders"] >= many:
+            reports.write_report(t.spark.createDataFrame([(True, r["recall"])], schema), path)
+        stored = reports.read_report(t.spark, path, schema, {"model_available": False})
+        reported = stored.agg(F.bool_or("model_available").alias("b")).scalar()
+        out.append(drift.retrain_decision(none, stored).select(
+            F.lit(r["year"]).alias("year"), F.lit(r["n_orders"]).cast("bigint").alias("n_orders"), reported.alias("reported"), "retrain",
+            F.concat_ws("|", "reasons").alias("reasons")))
+    return union_all(out)
 
 
 @query("s14_report_archive", _HISTORY)

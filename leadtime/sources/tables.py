@@ -25,6 +25,22 @@ def read_event_tables(spark: SparkSession, shards: Mapping[str, Sequence[str]],
             for name, paths in shards.items()}
 
 
+def read_dirty_csv(spark: SparkSession, paths: str | Sequence[str], schema: str, header: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows that fit the schema, rejected lines with their file). No column may be called ``_line``.
+
+    A line is judged as a whole, whichever columns are read later: a value of the wrong type, or too few or too many, rejects it.
+    Blank lines are skipped, and with ``header`` the lines that repeat the column names. Values may be quoted, but not span lines.
+    """
+    raw = spark.read.text(paths).where(F.trim("value") != "")
+    names = spark.createDataFrame([], schema).columns
+    if header:
+        raw = raw.where(F.translate("value", '" ', "") != ",".join(names))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_line"}
+    read = raw.select("value", F.col("_metadata.file_path").alias("file"), F.from_csv("value", f"{schema}, _line string", options).alias("_r"))
+    bad = F.col("_r._line").isNotNull()
+    return read.where(~bad).select(*[F.col(f"_r.{c}").alias(c) for c in names]), read.where(bad).select(F.col("value").alias("line"), "file")
+
+
 def read_tables(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
     """Parquet tables by name; all missing inputs are named in one error."""
     found, absent = {}, []

@@ -123,3 +123,30 @@ def test_near_rows_are_found_across_slices(spark, monkeypatch):
         assert got == whole and len(got) == 600
     for key, a in whole:
         assert 0 < abs(a - int(key[1:5])) <= 4
+
+
+def test_a_model_that_cannot_be_refitted_scores_one_half(data):
+    class Fragile:
+        """Fits folds, but not the whole table."""
+
+        def __init__(self, inner, most):
+            self.inner, self.most = inner, most
+
+        def fit(self, df):
+            if df.count() > self.most:
+                raise RuntimeError("no memory")
+            return self.inner.fit(df)
+
+    both = {**models(), "gbt": Fragile(ml.boosted_trees("y", rounds=2, depth=2), 500)}
+    stack = ml.Stacking(both, ["a", "b"], "y", ["key"], folds=2).fit(data)
+    assert list(stack.fitted) == ["lr"] and isinstance(stack.failed["gbt"], RuntimeError)
+    assert [r[0] for r in stack.transform(data).select("gbt").distinct().collect()] == [0.5]
+    with pytest.raises(RuntimeError):
+        ml.Stacking({"gbt": Fragile(models()["gbt"], 500)}, ["a", "b"], "y", ["key"], folds=2).fit(data)
+
+
+def test_loss_curve_ends_at_its_smallest_loss(data):
+    model = ml.fit_boosted_trees(data, ["a", "b"], "y", "val", rounds=40, depth=2, step=0.3)
+    curve = ml.loss_curve(model, data.where("val"), ["a", "b"], "y").orderBy("round").collect()
+    assert len(curve) == model.getNumTrees < 40 and [r.chosen for r in curve] == [False] * (len(curve) - 1) + [True]
+    assert curve[-1].loss == min(r.loss for r in curve) < curve[0].loss

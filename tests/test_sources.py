@@ -13,7 +13,7 @@ from leadtime.sources import reports
 from leadtime.sources.feature_table import FeatureTable
 from leadtime.sources.requests import parse_requests, split_requests
 from leadtime.sources.run_store import append_run, read_runs
-from leadtime.sources.tables import read_entity_years, read_event_tables, read_split, read_tables, write_table
+from leadtime.sources.tables import read_dirty_csv, read_entity_years, read_event_tables, read_split, read_tables, write_table
 
 
 def test_yearly_csv_files(spark, tmp_path):
@@ -64,11 +64,33 @@ def test_feature_table_versions(spark, tmp_path):
 def test_half_written_version_is_not_seen(spark, tmp_path):
     table = FeatureTable(spark, str(tmp_path / "f"))
     table.save(spark.range(2).toDF("x"))
-    spark.range(9).toDF("x").write.parquet(str(tmp_path / "f/version=2/data"))  # data without its record
+    spark.range(9).toDF("x").write.parquet(str(tmp_path / "f/rows/lost/data"))  # data without its record
     assert table.latest() == 1 and table.load().count() == 2
     assert table.save(spark.range(5).toDF("x")) == 2 and table.load().count() == 5
 
 
+def test_saves_at_once_give_a_version_each(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(4) as pool:
+        made = list(pool.map(lambda n: FeatureTable(spark, str(tmp_path / "f")).save(spark.range(n).toDF("x")), range(1, 9)))
+    assert sorted(made) == list(range(1, 9))
+    table = FeatureTable(spark, str(tmp_path / "f"))
+    assert {v: table.load(version=v).count() for v in made} == dict(zip(made, range(1, 9)))
+    assert [r["previous_version"] for r in table.versions().orderBy("version").collect()] == [None, *range(1, 8)]
+    assert table.clean_up(3) == [1, 2, 3, 4, 5] and table.load().count() >= 1
+    with pytest.raises(FileNotFoundError):
+        table.load(version=99)
+
+
+def test_dirty_lines_are_kept_apart(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("1,20080101,2.5\nx,20080102,3.5\n3,junk,4.5\n4,20080104\n5,20080105,abc\n\n6,20080106,6.5,more\n")
+    rows, bad = read_dirty_csv(spark, [str(tmp_path / "a.csv")], "id int, day string, amt double")
+    assert sorted(tuple(r) for r in rows.collect()) == [(1, "20080101", 2.5), (3, "junk", 4.5)]
+    assert sorted(r["line"] for r in bad.collect()) == ["4,20080104", "5,20080105,abc", "6,20080106,6.5,more", "x,20080102,3.5"]
+    assert rows.select("id").count() == 2  # the verdict on a line does not depend on the columns read
+
+
 def test_reports(spark, tmp_path):
     schema = "drift_detected boolean, n_drifted long, top array<struct<feature:string,psi:double>>"
     path = str(tmp_path / "r")
