@@ -143,3 +143,13 @@ REQUEST_FIELDS = [
     ("NB_MOLECULES_UNIQUES", "double", 0, 0, None),
     ("POLYPHARMACIE", "int", 0, 0, 1),
 ]
+
+# --- Fixed values: parameter search ----------------------------------------
+SEARCH_TRIALS = 50
+SEARCH_RANGES = {
+    "rounds": ("int", 50, 300),
+    "depth": ("int", 3, 8),
+    "step": ("log", 0.001, 0.1),
+    "rows": ("float", 0.5, 1.0),
+    "columns": ("float", 0.5, 1.0),
+}

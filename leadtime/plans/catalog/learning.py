@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from leadtime import fixed_values as fv
 from leadtime.functions.numeric import add_all
 from leadtime.operators import evaluation as ev
 from leadtime.operators import learners as ml
@@ -39,7 +40,7 @@ def scored(df, name):
 def m1(t: Tables):
     df = labelled(t)
     fit_rows = df.where(F.col("split") != "test").withColumn("is_val", F.col("split") == "val")
-    model = ml.fit_boosted_trees(fit_rows, FEATURES, "label", "is_val", rounds=10, depth=3)
+    model = ml.fit_boosted_trees(fit_rows, FEATURES, "label", "is_val")
     return scored(ml.add_score(model, ml.assemble(df, FEATURES), "p_trees"), "p_trees")
 
 
@@ -81,20 +82,34 @@ def m4(t: Tables):
     return scored(stack.transform(df.where(F.col("split") != "train")), "p_stack")
 
 
-@query("m10_parameter_search")
-def m10(t: Tables):
-    df = labelled(t)
-    ranges = {"depth": ("int", 2, 4), "step": ("log", 0.01, 0.3), "rows": ("float", 0.5, 1.0)}
-    candidates = ml.draw_candidates(ranges, 3)
+def searched(t: Tables, n: int):
+    """Trials over the published ranges. Fitting stops early on the validation rows, which also score a trial."""
+    df = labelled(t).withColumn("is_val", F.col("split") == "val")
 
     def build(**options):
-        return ml.boosted_trees("label", rounds=3, **options)
+        return ml.boosted_trees("label", validation="is_val", **options)
+
+    return ml.search_parameters(df.where(F.col("split") != "test"), df.where(F.col("split") == "val"), FEATURES, "label", build,
+                                ml.draw_candidates(fv.SEARCH_RANGES, n), threshold=0.4, parallelism=4)
+
 
-    trials = ml.search_parameters(df.where(F.col("split") == "train"), df.where(F.col("split") == "val"), FEATURES,
-                                  "label", build, candidates, threshold=0.4)
+@query("m10_parameter_search")
+def m10(t: Tables):
+    trials = searched(t, fv.SEARCH_TRIALS)
     return trials.select("trial", F.map_keys("params").alias("names"), F.round("trial_score", 6).alias("trial_score"))
 
 
+@query("m10_best_trial", f"SELECT true AS best_of_all, true AS in_ranges, {len(fv.SEARCH_RANGES)} AS n_params")
+def m10_best(t: Tables):
+    """The chosen trial has the largest score of all, and its parameters lie in their ranges."""
+    trials = cut_lineage(searched(t, 8))
+    best, most = ml.best_trial(trials), trials.agg(F.max("trial_score")).scalar()
+    inside = F.lit(True)
+    for name, (_, low, high) in fv.SEARCH_RANGES.items():
+        inside = inside & F.col("params")[name].cast("double").between(low, high)
+    return best.select((F.col("trial_score") >= most).alias("best_of_all"), inside.alias("in_ranges"), F.size("params").alias("n_params"))
+
+
 @query("m11_oversample_counts", f"""
 WITH {q.COHORT}, {q.LABEL}, n AS (SELECT count(*) AS n, count(l.entity) AS p FROM cohort c LEFT JOIN label l
   ON c.entity = l.entity AND c.obs_date = l.obs_date)

@@ -10,6 +10,8 @@ from leadtime.operators import drift, quality
 from leadtime.plans.bindings import URGENT, Tables
 from leadtime.plans.catalog import query
 from leadtime.plans.catalog import sql as q
+from leadtime.session import scratch_path
+from leadtime.sources import reports
 
 # rules for line items: one column is missing, one type, one range and one more range fail
 RULES = {
@@ -112,6 +114,40 @@ def q8(t: Tables):
     return quality.find_issues(dirty_lines(t), RULES).drop("message")
 
 
+_VERDICT = ("n_errors, n_warnings, n_errors = 0 AS passed, greatest(0, 100 - 15 * n_errors - 5 * n_warnings) AS quality_score FROM "
+            "(SELECT count(*) FILTER (WHERE severity = 'error') AS n_errors, count(*) FILTER (WHERE severity = 'warning') AS n_warnings FROM issues)")
+
+
+@query("q8_quality_report", f"WITH {DIRTY}, {_ISSUES} SELECT 'lines' AS dataset, {len(_COLUMNS)} AS n_columns, "
+       "(SELECT string_agg(severity || ':' || \"column\" || ':' || \"check\", ',' ORDER BY severity, \"column\", \"check\") FROM issues) AS faults, "
+       + _VERDICT)
+def q8_report(t: Tables):
+    """The whole report row, through the JSON sink and back."""
+    path = scratch_path(t.spark, "quality")
+    report = quality.quality_report(dirty_lines(t), RULES, "lines")
+    reports.write_report(report, path)
+    stored = reports.read_report(t.spark, path, report.schema)
+    faults = F.transform("issues", lambda i: F.concat_ws(":", i["severity"], i["column"], i["check"]))
+    return stored.select("dataset", "n_columns", "n_errors", "n_warnings", "passed", "quality_score", F.concat_ws(",", faults).alias("faults"))
+
+
+@query("q8_gate", f"WITH {DIRTY}, {_ISSUES}, v AS (SELECT {_VERDICT}) SELECT 'lines' AS dataset, NOT passed AS stopped, n_errors FROM v "
+       "UNION ALL SELECT 'orders', (SELECT min(o_totalprice) < 0 OR avg((o_totalprice IS NULL)::INTEGER) > 0.5 FROM orders), 0")
+def q8_gate(t: Tables):
+    """What the gate lets through: a job stops where its table has errors."""
+    rules = {"money": {"cols": ["o_totalprice"], "dtype": "float", "min": 0}}
+    out = []
+    for name, df, rule in (("lines", dirty_lines(t), RULES), ("orders", t.orders.select("o_totalprice", "o_custkey"), rules)):
+        report = quality.quality_report(df, rule, name).cache()
+        try:
+            quality.gate(report)
+            stopped = False
+        except ValueError:
+            stopped = True
+        out.append(report.select("dataset", F.lit(stopped).alias("stopped"), "n_errors"))
+    return out[0].unionByName(out[1])
+
+
 @query("q9_duplicate_keys", "SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 def q9(t: Tables):
     return quality.duplicate_keys(t.lineitem, ["l_orderkey", "l_linenumber"])
@@ -191,6 +227,19 @@ def d3(t: Tables):
         "n_features", "n_drifted", F.concat_ws(",", "drifted_features").alias("drifted"), "max_psi", "drift_pct")
 
 
+@query("d3_drift_report", f"""WITH {_SUMMARY}, top AS (SELECT string_agg(feature || '=' || printf('%.4f', psi), ',' ORDER BY psi DESC, feature DESC) AS top5
+  FROM (SELECT * FROM psi ORDER BY psi DESC, feature DESC LIMIT 5))
+SELECT n_features, n_drifted, drift_pct, drift_severity, max_psi, top5 FROM full_report, top""")
+def d3_report(t: Tables):
+    """Severity and the top five of the nested report, through the JSON sink and back."""
+    path = scratch_path(t.spark, "drift")
+    report = drift.drift_summary(psi_of(t))
+    reports.write_report(report, path)
+    stored = reports.read_report(t.spark, path, report.schema)
+    top = F.transform("top5_psi", lambda x: F.concat(x["feature"], F.lit("="), F.format_string("%.4f", x["psi"])))
+    return stored.select("n_features", "n_drifted", "drift_pct", "drift_severity", "max_psi", F.concat_ws(",", top).alias("top5"))
+
+
 @query("d3_drift_flags", f"WITH {_PSI} SELECT feature, round(psi, 6) AS psi, psi > 0.2 AS drifted FROM psi")
 def d3_flags(t: Tables):
     return drift.flag_drift(psi_of(t)).withColumn("psi", F.round("psi", 6))

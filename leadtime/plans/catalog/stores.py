@@ -13,7 +13,9 @@ from leadtime.plans.catalog import sql as q
 from leadtime.session import scratch_path
 from leadtime.sources import reports
 from leadtime.sources.feature_table import FeatureTable
+from leadtime.operators.profile import leaderboard
 from leadtime.sources.requests import split_requests
+from leadtime.sources.run_store import read_runs, write_run
 from leadtime.sources.tables import read_entity_years, read_event_tables, write_table
 
 
@@ -158,3 +160,24 @@ def s16(t: Tables):
                            F.from_json("props", "k int")["k"].alias("k"))
     _, bad = split_requests(rows, fields)
     return bad.select("event_id", F.concat_ws("; ", "faults").alias("faults"))
+
+
+@query("s15_run_leaderboard", """
+WITH m AS (SELECT year(o_orderdate)::INTEGER AS y, o_orderpriority AS p, count(*)::DOUBLE AS n, sum((o_orderstatus = 'F')::INTEGER) / count(*) AS share
+  FROM orders GROUP BY 1, 2), steps AS (SELECT *, row_number() OVER (PARTITION BY p ORDER BY y) AS step FROM m),
+last AS (SELECT p, arg_max(share, y) AS recall, arg_max(n, y) AS n_orders, count(*) AS n_steps FROM steps GROUP BY 1)
+SELECT substr(p, 1, 1) AS run_id, p AS name, round(recall, 6) AS recall, n_orders, n_steps FROM last""")
+def s15(t: Tables):
+    """A run per order priority, a step per year, written as run files and read back to one row a run."""
+    root = scratch_path(t.spark, "runs")
+    rows = t.orders.groupBy(F.col("o_orderpriority").alias("p"), F.year("o_orderdate").alias("y")).agg(
+        F.count("*").alias("n"), F.avg((F.col("o_orderstatus") == "F").cast("double")).alias("share")).orderBy("p", "y").collect()
+    for p in sorted({r["p"] for r in rows}):
+        mine = [r for r in rows if r["p"] == p]
+        write_run(t.spark, root, p[0], {"recall": [(r["y"] * 1000, r["share"], i) for i, r in enumerate(mine)],
+                                        "n_orders": [(r["y"] * 1000, float(r["n"]), i) for i, r in enumerate(mine)]}, {"folds": 5}, {"name": p})
+    long = read_runs(t.spark, root)
+    board = leaderboard(long.where("kind = 'metrics'").withColumn("value", F.col("value").cast("double")), "run_id", "name", "value", "ts", ["recall", "n_orders"])
+    tags = long.where("kind = 'tags' AND name = 'name'").select("run_id", F.trim("value").alias("name"))
+    steps = long.where("name = 'recall'").groupBy("run_id").agg(F.count("*").alias("n_steps"))
+    return board.join(tags, "run_id").join(steps, "run_id").select("run_id", "name", F.round("recall", 6).alias("recall"), "n_orders", "n_steps")

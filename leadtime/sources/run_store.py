@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from leadtime.sources import commits
+
 PLACE = r"/([^/]+)/(metrics|params|tags)/([^/]+)$"
 
 
@@ -22,6 +26,16 @@ def read_runs(spark: SparkSession, root: str) -> DataFrame:
         F.when(metric, F.get(part, F.lit(2)).try_cast("int")).alias("step"))
 
 
+def write_run(spark: SparkSession, root: str, run: str, metrics: Mapping[str, Sequence[tuple[int, float, int]]],
+              params: Mapping[str, object] | None = None, tags: Mapping[str, object] | None = None) -> None:
+    """The files of one finished run: a metric has lines (epoch_ms, value, step), a parameter or tag one value. A run is written once."""
+    files = {f"metrics/{n}": "\n".join(f"{ts} {value!r} {step}" for ts, value, step in lines) for n, lines in metrics.items()}
+    files |= {f"params/{n}": str(v) for n, v in (params or {}).items()} | {f"tags/{n}": str(v) for n, v in (tags or {}).items()}
+    for name, text in files.items():
+        if not commits.publish(spark, f"{root.rstrip('/')}/{run}/{name}", text):
+            raise FileExistsError(f"run {run} has {name} already")
+
+
 def append_run(rows: DataFrame, path: str) -> None:
     """Add long run rows (run_id, kind, name, value) to the log table."""
     rows.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(path)
