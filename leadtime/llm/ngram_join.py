@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from leadtime.llm.common import bits_table, cut_lineage, words
+from leadtime.llm.common import bits_table, cut_lineage, blank_words
 from leadtime.llm.components import components
 
 #: Ratio of a band's ends; shingles of a block of candidates compared in one go; bits of the filters.
@@ -33,7 +33,7 @@ def lower_ascii(text: Column) -> Column:
 
 
 def word_hashes(text: Column) -> Column:
-    return F.transform(words(lower_ascii(text)), lambda w: F.xxhash64(w))
+    return F.transform(blank_words(lower_ascii(text)), lambda w: F.xxhash64(w))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
