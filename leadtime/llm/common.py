@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from leadtime.session import cut_lineage, scratch_path
 
-__all__ = ["SPACE", "bits_table", "blank_words", "cut_lineage", "discard", "maybe_in", "read", "scratch_path", "stored", "words"]
+__all__ = ["SPACE", "bits_table", "cut_lineage", "discard", "lower_words", "maybe_in", "read", "scratch_path", "stored", "words"]
 
 #: What separates words: blank, and the five control characters 0x09 to 0x0D.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -21,12 +21,11 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
 
 
-def blank_words(text: Column) -> Column:
-    """The same words as ``words``. Control characters become blanks first, so that splitting at one blank needs no pattern."""
-    plain = F.coalesce(text, F.lit(""))
-    for c in "\t\n\x0b\x0c\r":
-        plain = F.replace(plain, F.lit(c), F.lit(" "))
-    return F.array_remove(F.split(plain, " "), "")
+def lower_words(text: Column) -> Column:
+    """The words of a text with A-Z made small. One replacement of characters also turns what separates words into blanks, and
+    splitting at a blank needs no pattern."""
+    small = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", "abcdefghijklmnopqrstuvwxyz     ")
+    return F.array_remove(F.split(small, " "), "")
 
 
 def bits_table(keys: DataFrame, key: str, log2_bits: int) -> DataFrame:

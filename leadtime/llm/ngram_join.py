@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from leadtime.llm.common import bits_table, cut_lineage, blank_words
+from leadtime.llm.common import bits_table, cut_lineage, lower_words
 from leadtime.llm.components import components
 
 #: Ratio of a band's ends; shingles of a block of candidates compared in one go; bits of the filters.
@@ -28,12 +28,8 @@ RATIO, BLOCK, KEY_BITS, CLASS_BITS = 1.4, 1_000_000, 26, 23
 K1, K2, K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-def lower_ascii(text: Column) -> Column:
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def word_hashes(text: Column) -> Column:
-    return F.transform(blank_words(lower_ascii(text)), lambda w: F.xxhash64(w))
+    return F.transform(lower_words(text), lambda w: F.xxhash64(w))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
