@@ -22,14 +22,18 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of five-word shingle sets with a similarity of 0.8 or more: the one with the smallest doc_id.
+    """One row of each group of five-word shingle sets with a similarity of 0.8 or more: the one with the smallest doc_id.
 
-    Documents without words stay, and so do rows without a doc_id.
+    A row is its doc_id and text: rows that share a doc_id but not the text are judged apart, rows that share both are one. A
+    NULL doc_id is larger than any other, equal ids go by a hash of the text. Documents without words stay.
     """
-    found = ngram_join.jaccard_components(docs, width=5, percent=80)
-    dropped = found.where("component_id < doc_id").select("doc_id").distinct()
-    first = docs.dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
-    return first.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("g"))
+    rows = docs.select(*COLUMNS, row.alias("_row"))
+    found = ngram_join.jaccard_components(rows.select("_row", "text"), key="_row", width=5, percent=80)
+    kept = found.where(F.col("component_id") == F.col("_row")).groupBy("_row").agg(F.count("*").alias("_same")).withColumnRenamed("_row", "_kept")
+    first = rows.join(kept, F.col("_row") == F.col("_kept"))
+    # only rows that are there several times are compared with one another; the other texts are not shuffled again
+    return first.where("_same = 1").select(*COLUMNS).unionByName(first.where("_same > 1").dropDuplicates(["_row"]).select(*COLUMNS))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
