@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from leadtime.session import cut_lineage, scratch_path
+from leadtime import session
 
 __all__ = ["SPACE", "bits_table", "cut_lineage", "discard", "lower_words", "maybe_in", "read", "scratch_path", "stored", "words"]
 
@@ -12,6 +12,21 @@ __all__ = ["SPACE", "bits_table", "cut_lineage", "discard", "lower_words", "mayb
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+#: Scratch tables of this driver, in the order in which they were made.
+MADE: list[str] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder, remembered so that a pipeline can delete it once its stage is over."""
+    MADE.append(session.scratch_path(spark, name))
+    return MADE[-1]
+
+
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write the rows once to the shared folder and go on from that table."""
+    return stored(df, name)[0]
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
