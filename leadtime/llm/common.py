@@ -12,6 +12,9 @@ __all__ = ["SPACE", "bits_table", "cut_lineage", "discard", "lower_words", "mayb
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+#: While set, the shuffle files of a query are deleted when it ends. The written table is all that later jobs read.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Scratch tables of this driver, in the order in which they were made.
 MADE: list[str] = []
 
@@ -63,9 +66,14 @@ def maybe_in(df: DataFrame, key: str, bits: DataFrame, log2_bits: int) -> DataFr
 
 def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """The rows written to a new table in the shared folder and read back from it, and the table's path (see ``discard``)."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    before = spark.conf.get(SHUFFLES_GO, None)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLES_GO) if before is None else spark.conf.set(SHUFFLES_GO, before)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def discard(spark: SparkSession, path: str) -> None:

@@ -8,6 +8,9 @@ are costly, as many unlike sets agree on them. A set with more than ``spare`` co
 one-deletion neighbourhoods of its segments in a partition half as fine, where some pair of
 segments differs by one shingle at most: so two such sets meet as well. ``spare`` is chosen per
 band by the expected number of keys. Sets that share a key are candidates; they are compared exactly.
+
+Each text is split and hashed once; its shingles are stored. Keys are shuffled in passes, one range of their hashes after
+the other, so that the shuffled rows of a pass stay below half of the stored shingles at any size of the input.
 """
 
 from __future__ import annotations
@@ -20,11 +23,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from leadtime.llm.common import bits_table, cut_lineage, lower_words
+from leadtime.llm.common import bits_table, cut_lineage, discard, lower_words, stored
 from leadtime.llm.components import components
 
 #: Ratio of a band's ends; shingles of a block of candidates compared in one go; bits of the filters.
 RATIO, BLOCK, KEY_BITS, CLASS_BITS = 1.4, 1_000_000, 26, 23
+#: Shingles whose keys are made in one go; bytes of a shuffled key; of the stored shingles, the share that the keys of a pass may take.
+CHUNK, KEY_BYTES, PASS_SHARE = 300_000, 18, 0.5
 K1, K2, K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -40,15 +45,34 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def shingles(hashes: np.ndarray, width: int) -> np.ndarray:
     """Sorted distinct 64-bit shingles of a text's word hashes; a shorter text is one shingle."""
-    h = hashes.astype(np.uint64)
-    if not len(h):
-        return h
-    width = min(width, len(h))
+    return batch_shingles([hashes], width)[0]
+
+
+def batch_shingles(texts: list[np.ndarray], width: int) -> list[np.ndarray]:
+    """The shingles of each text. Texts are hashed end to end; windows that reach into the next text are left out."""
+    if not texts:
+        return []
+    h = np.concatenate(texts).astype(np.uint64)
+    ends = np.cumsum([len(t) for t in texts])
+    every = rolled(h, width) if len(h) >= width else h[:0]
+    out = []
+    for end, t in zip(ends.tolist(), texts):
+        n = len(t)
+        s = every[end - n:end - width + 1] if n >= width else rolled(h[end - n:end], n)
+        s = np.sort(s)
+        out.append(s[np.concatenate([[True], s[1:] != s[:-1]])] if len(s) else s)
+    return out
+
+
+def rolled(h: np.ndarray, width: int) -> np.ndarray:
+    """One number for each window of ``width`` word hashes."""
+    if not width:
+        return h[:0]
     rows = len(h) - width + 1
     s = np.full(rows, width, np.uint64)
     for i in range(width):
         s = mixed(s * K1 + h[i:i + rows])
-    return np.unique(s)
+    return s
 
 
 def set_class(tokens: np.ndarray) -> int:
@@ -74,30 +98,38 @@ class Scheme:
             best = min(best, (m * (1 - p) + tail * (middle + self.half), spare))
         self.spare = best[1]
 
-    def keys(self, tokens: np.ndarray) -> list[np.ndarray]:
-        if not self.apart:
-            return []  # only equal sets, which are one class
-        costly, out = 1 << 60, []
+    def keys(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The keys of all sets and, for each key, the place of its set in the list."""
+        if not self.apart or not sets:
+            return np.empty(0, np.uint64), np.empty(0, np.int64)  # only equal sets, which are one class
+        flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        each = mixed(flat ^ K3)
+        again, out = np.ones(len(sets), bool), []
         if self.spare >= 0:
-            sizes, sums, _ = self._cut(tokens, self.apart + 1 + self.spare)
+            m = self.apart + 1 + self.spare
+            _, sizes, sums = self._cut(flat, owner, each, len(sets), m)
             cheap = np.flatnonzero(sizes > 1)
-            costly = len(sizes) - len(cheap)
-            out.append(self._name(sums[cheap], cheap, 0))
-        if costly > self.spare:
-            sizes, sums, each = self._cut(tokens, self.half)
-            at = np.repeat(np.arange(self.half), sizes)
-            out += [self._name(sums, np.arange(self.half), 1), self._name(sums[at] - each, at, 1)]
-        return out
+            again = m - np.bincount(cheap // m, minlength=len(sets)) > self.spare
+            out.append((self._name(sums[cheap], cheap % m, 0), cheap // m))
+        if again.any():
+            m, some = self.half, again[owner]
+            at, sizes, sums = self._cut(flat[some], owner[some], each[some], len(sets), m)
+            whole = np.flatnonzero(np.repeat(again, m))
+            out += [(self._name(sums[whole], whole % m, 1), whole // m), (self._name(sums[at] - each[some], at % m, 1), at // m)]
+        return np.concatenate([k for k, _ in out]), np.concatenate([w for _, w in out])
 
     @staticmethod
-    def _cut(tokens: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Size and sum of each segment, and each token's part of the sum; sorted tokens lie in rising segments."""
-        segment = ((tokens >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
-        sizes = np.bincount(segment.astype(np.int64), minlength=m)
-        each = mixed(tokens ^ K3)
+    def _cut(flat: np.ndarray, owner: np.ndarray, each: np.ndarray, n: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each token's segment, and size and sum of the segments, m for each of n sets; sorted tokens lie in rising segments."""
+        at = owner * m + (((flat >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)).astype(np.int64)
+        sizes = np.bincount(at, minlength=n * m)
         through = np.concatenate([np.zeros(1, np.uint64), np.cumsum(each, dtype=np.uint64)])
         ends = np.cumsum(sizes)
-        return sizes, through[ends] - through[ends - sizes], each
+        return at, sizes, through[ends] - through[ends - sizes]
+
+    def expected(self) -> float:
+        """About how many keys a set emits."""
+        return 0 if not self.apart else self.apart + 1 + self.spare if self.spare >= 0 else self.high + self.half
 
     def _name(self, sums: np.ndarray, segment: np.ndarray, kind: int) -> np.ndarray:
         return mixed(sums * K1 + (segment.astype(np.uint64) * np.uint64(4096) + np.uint64(self.number * 2 + kind)) * K2)
@@ -118,10 +150,34 @@ def scheme(number: int, low: int, high: int, percent: int) -> Scheme:
     return Scheme(number, low, high, percent)
 
 
+def signatures(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of sets, and the place of each key's set: two sets with at least ``percent`` % in common share a key, unless they
+    are equal."""
+    by_scheme = {}
+    for i, s in enumerate(sets):
+        for one in schemes_of(len(s), percent) if len(s) else ():
+            by_scheme.setdefault(one, []).append(i)
+    keys, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    for one, mine in by_scheme.items():
+        k, at = one.keys([sets[i] for i in mine])
+        keys.append(k)
+        places.append(np.array(mine, np.int64)[at])
+    return np.concatenate(keys).astype(np.int64), np.concatenate(places)
+
+
 def signature(tokens: np.ndarray, percent: int) -> np.ndarray:
-    """The keys of a set: two sets with at least ``percent`` % in common share one, unless they are equal."""
-    parts = [k for s in schemes_of(len(tokens), percent) for k in s.keys(tokens)]
-    return np.unique(np.concatenate(parts)).astype(np.int64) if parts else np.empty(0, np.int64)
+    """The distinct keys of one set."""
+    return np.unique(signatures([tokens], percent)[0])
+
+
+def chunks(sets: list[np.ndarray], tokens: int = CHUNK) -> Iterator[list[int]]:
+    """Places of consecutive sets, about ``tokens`` shingles at a time."""
+    begun, held = 0, 0
+    for i, s in enumerate(sets):
+        held += len(s)
+        if held >= tokens or i + 1 == len(sets):
+            yield list(range(begun, i + 1))
+            begun, held = i + 1, 0
 
 
 def linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -146,6 +202,8 @@ def linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     shared = np.bincount(owner[common[token] > 1], minlength=len(sets))
     alive = shared * 100 >= percent * sizes
     root = np.arange(len(sets))
+    members = {}  # of the groups of two sets or more
+    largest, most = -1, 1
     starts = np.concatenate([[0], np.cumsum(sizes)])
     edges = []
     todo = np.flatnonzero(alive)
@@ -153,21 +211,26 @@ def linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     while len(todo):
         put_off = []
         for r in todo:
-            groups = np.bincount(root[alive], minlength=len(sets))
-            if groups.max() > 1 and root[r] == groups.argmax():
+            if root[r] == largest:
                 put_off.append(r)
                 continue
             mine = token[starts[r]:starts[r + 1]]
             mine = mine[common[mine] > 1]
             n = common[mine]
             at = np.repeat(begin[mine] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-            overlap = np.bincount(holders[at], minlength=len(sets))
-            near = np.flatnonzero(alive & (overlap * 100 >= percent * (sizes[r] + sizes - overlap)) & (root != root[r]))
+            met, overlap = np.unique(holders[at], return_counts=True)
+            near = met[alive[met] & (overlap * 100 >= percent * (sizes[r] + sizes[met] - overlap)) & (root[met] != root[r])]
             for s in near:
                 if root[s] != root[r]:
                     edges.append((int(r), int(s)))
-                    root[root == root[s]] = root[r]
-        largest = np.bincount(root[alive], minlength=len(sets)).argmax()
+                    one, two = (members.pop(root[x], [x]) for x in (r, s))
+                    few, many = sorted((one, two), key=len)
+                    to = root[many[0]]
+                    root[few] = to
+                    many.extend(few)
+                    members[to] = many
+                    if len(many) > most:
+                        largest, most = to, len(many)
         todo = [r for r in put_off if root[r] != largest]
     return edges
 
@@ -211,47 +274,58 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     kind = docs.schema[key].dataType.simpleString()
 
     def facts(keys, texts):
-        sets = [shingles(h, width) for h in texts]
-        yield pa.RecordBatch.from_arrays([keys, pa.array([len(s) for s in sets], pa.int64()),
-                                          pa.array([set_class(s) if len(s) else None for s in sets], pa.int64())], ["key", "n_shingles", "set_class"])
-
-    rows = cut_lineage(_over_hashes(docs, key, text, facts, f"key {kind}, n_shingles long, set_class long"), "set-classes")
-
-    def emitted(bitmap=None):
-        def make(_, texts):
-            out, classes, met = [], [], set()
-            for h in texts:
-                tokens = shingles(h, width)
-                if len(tokens) and (c := set_class(tokens)) not in met:
-                    met.add(c)
-                    k = signature(tokens, percent)
-                    k = k if bitmap is None else k[_hits(bitmap.value, k)]
-                    out.append(k)
-                    classes.append(np.full(len(k), c))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out)), pa.array(np.concatenate(classes))], ["k", "c"])
-
-        return _over_hashes(docs, key, text, make, "k long, c long")
-
-    shared = cut_lineage(emitted().groupBy("k").agg(F.min("c").alias("center"), F.max("c").alias("_other"))
-                         .where("center <> _other").select("k", "center"), "shared-keys")
-    some_keys = spark.sparkContext.broadcast(_bitmap(shared, "k", KEY_BITS))
-    met = emitted(some_keys).join(shared, "k").select("center", "c").where("center <> c").distinct()
-    stars = cut_lineage(met, "stars")
+        met = set()
+        for some in chunks(texts):
+            sets = batch_shingles([texts[i] for i in some], width)
+            names = [set_class(s) if len(s) else None for s in sets]
+            # a copy within the batch is the same set
+            held = [s.tobytes() if c is not None and not (c in met or met.add(c)) else None for s, c in zip(sets, names)]
+            yield pa.RecordBatch.from_arrays([keys.slice(some[0], len(some)), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()),
+                                              pa.array([round(sum(x.expected() for x in schemes_of(len(s), percent))) if h else 0 for s, h in zip(sets, held)], pa.int64()),
+                                              pa.array(held, pa.binary())], ["key", "n_shingles", "set_class", "n_keys", "tokens"])
+
+    stored_sets = cut_lineage(_over_hashes(docs, key, text, facts, f"key {kind}, n_shingles long, set_class long, n_keys long, tokens binary"), "shingle-sets")
+    rows = stored_sets.select("key", "n_shingles", "set_class")
+    held_sets = stored_sets.where("tokens is not null").select(F.col("set_class").alias("c"), "tokens")
+    n_keys, n_tokens = stored_sets.where("tokens is not null").agg(F.sum("n_keys"), F.sum("n_shingles")).first()
+    passes = max(1, math.ceil((n_keys or 0) * KEY_BYTES / (PASS_SHARE * 8 * (n_tokens or 1))))
+
+    def emitted(number, bitmap=None):
+        def make(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            with np.errstate(over="ignore"):
+                for batch in it:
+                    classes = batch.column(0).to_numpy()
+                    sets = [np.frombuffer(x, np.uint64) for x in batch.column(1).to_pylist()]
+                    for some in chunks(sets):
+                        k, at = signatures([sets[i] for i in some], percent)
+                        mine = (k.view(np.uint64) >> np.uint64(40)) % np.uint64(passes) == number
+                        k, at = k[mine], at[mine]
+                        if bitmap is not None:
+                            hit = _hits(bitmap.value, k)
+                            k, at = k[hit], at[hit]
+                        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(classes[some][at])], ["k", "c"])
+
+        return held_sets.mapInArrow(make, "k long, c long")
+
+    stars = None
+    for number in range(passes):  # as many as keys for each shingle ask for, whatever the number of rows
+        shared, path = stored(emitted(number).groupBy("k").agg(F.min("c").alias("center"), F.max("c").alias("_other"))
+                              .where("center <> _other").select("k", "center"), "shared-keys")
+        some_keys = spark.sparkContext.broadcast(_bitmap(shared, "k", KEY_BITS))
+        met = emitted(number, some_keys).join(shared, "k").select("center", "c").where("center <> c").distinct()
+        some_stars = cut_lineage(met, "stars")
+        stars = some_stars if stars is None else stars.union(some_stars)
+        some_keys.destroy()
+        discard(spark, path)
+    stars = stars.distinct() if passes > 1 else stars
     members = stars.union(stars.select("center", F.col("center").alias("c")).distinct())
     some_classes = spark.sparkContext.broadcast(_bitmap(members.select("c").distinct(), "c", CLASS_BITS))
 
-    def wanted(_, texts):
-        out = {}
-        for h in texts:
-            tokens = shingles(h, width)
-            if len(tokens):
-                out.setdefault(set_class(tokens), tokens)
-        names = np.array(list(out), np.int64)
-        names = names[_hits(some_classes.value, names)].tolist()
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array([out[c].tobytes() for c in names], pa.binary())], ["c", "tokens"])
-
-    sets = _over_hashes(docs, key, text, wanted, "c long, tokens binary").groupBy("c").agg(F.first("tokens").alias("tokens"))
+    def wanted(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            yield batch.filter(pa.array(_hits(some_classes.value, batch.column(0).to_numpy())))
+
+    sets = held_sets.mapInArrow(wanted, "c long, tokens binary").groupBy("c").agg(F.first("tokens").alias("tokens"))
     held = members.join(rows.where("set_class is not null").groupBy(F.col("set_class").alias("c")).agg(F.max("n_shingles").alias("n")), "c")
     weight = held.groupBy("center").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") / BLOCK)).cast("int").alias("blocks"))
     placed = (members.join(weight, "center").withColumn("_own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
