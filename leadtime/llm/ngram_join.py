@@ -10,7 +10,7 @@ segments differs by one shingle at most: so two such sets meet as well. ``spare`
 band by the expected number of keys. Sets that share a key are candidates; they are compared exactly.
 
 Each text is split and hashed once; its shingles are stored. Keys are shuffled in passes, one range of their hashes after
-the other, so that the shuffled rows of a pass stay below half of the stored shingles at any size of the input.
+the other, and candidates are compared in rounds, so that a shuffle stays near half of the stored shingles at any size of the input.
 """
 
 from __future__ import annotations
@@ -262,6 +262,18 @@ def _hits(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
+def outer_stars(stars: DataFrame) -> DataFrame:
+    """The rows (center, c) without the stars whose sets another star holds, too, where all their pairs are compared.
+
+    A star is held against that of its center's smallest center. As that one is smaller, the last of a chain of such stars stays.
+    """
+    outer = stars.groupBy(F.col("c").alias("center")).agg(F.min("center").alias("_outer"))
+    held = stars.select(F.col("center").alias("_outer"), "c", F.lit(1).alias("_held"))
+    inside = (stars.join(outer, "center").join(held, ["_outer", "c"], "left").groupBy("center")
+              .agg(F.count("_held").alias("_n_held"), F.count("*").alias("_n")).where("_n_held = _n").select("center"))
+    return stars.join(inside, "center", "left_anti")
+
+
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
     """(key, n_shingles, component_id, set_class) of every row.
 
@@ -317,22 +329,14 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
         stars = some_stars if stars is None else stars.union(some_stars)
         some_keys.destroy()
         discard(spark, path)
-    stars = stars.distinct() if passes > 1 else stars
+    stars = cut_lineage(outer_stars(stars.distinct() if passes > 1 else stars), "stars")
     members = stars.union(stars.select("center", F.col("center").alias("c")).distinct())
-    some_classes = spark.sparkContext.broadcast(_bitmap(members.select("c").distinct(), "c", CLASS_BITS))
-
-    def wanted(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            yield batch.filter(pa.array(_hits(some_classes.value, batch.column(0).to_numpy())))
-
-    sets = held_sets.mapInArrow(wanted, "c long, tokens binary").groupBy("c").agg(F.first("tokens").alias("tokens"))
     held = members.join(rows.where("set_class is not null").groupBy(F.col("set_class").alias("c")).agg(F.max("n_shingles").alias("n")), "c")
     weight = held.groupBy("center").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") / BLOCK)).cast("int").alias("blocks"))
-    placed = (members.join(weight, "center").withColumn("_own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
-              .withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("center", "c", F.least("_own", "_with").alias("i"), F.greatest("_own", "_with").alias("j")).distinct())
-    grouped = (placed.join(sets, "c").repartition("center", "i", "j")
-               .sortWithinPartitions("center", "i", "j", "c").select("center", "i", "j", "c", "tokens"))
+    placed = cut_lineage(held.join(weight, "center").withColumn("_own", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int"))
+                         .withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                         .select("center", "c", F.least("_own", "_with").alias("i"), F.greatest("_own", "_with").alias("j"), "n").distinct(), "placed-sets")
+    rounds = max(1, math.ceil((placed.agg(F.sum("n")).first()[0] or 0) / (PASS_SHARE * (n_tokens or 1))))
 
     def compare(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, names, sets_held = None, [], []
@@ -352,7 +356,22 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 sets_held.append(np.frombuffer(tokens, np.uint64))
         yield from done()
 
-    roots = components(grouped.mapInArrow(compare, "a long, b long"))
+    links = None
+    for number in range(rounds):  # so many that the shingles shuffled in one are about half of those stored
+        some = placed.where(F.pmod(F.xxhash64("center", "i", "j"), F.lit(rounds)) == number).drop("n")
+        classes = spark.sparkContext.broadcast(_bitmap(some.select("c").distinct(), "c", CLASS_BITS))
+
+        def wanted(it: Iterator[pa.RecordBatch], bitmap=classes) -> Iterator[pa.RecordBatch]:
+            for batch in it:
+                yield batch.filter(pa.array(_hits(bitmap.value, batch.column(0).to_numpy())))
+
+        sets = held_sets.mapInArrow(wanted, "c long, tokens binary").groupBy("c").agg(F.first("tokens").alias("tokens"))
+        grouped = (some.join(sets, "c").repartition("center", "i", "j")
+                   .sortWithinPartitions("center", "i", "j", "c").select("center", "i", "j", "c", "tokens"))
+        found = cut_lineage(grouped.mapInArrow(compare, "a long, b long"), "links")
+        links = found if links is None else links.union(found)
+        classes.destroy()
+    roots = components(links)
     least = rows.where("set_class is not null").groupBy("set_class").agg(F.min("key").alias("_least"))
     rooted = least.join(roots, F.col("set_class") == F.col("node"), "left").select("set_class", "_least", F.coalesce("root", "set_class").alias("_root"))
     smallest = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))

@@ -258,6 +258,21 @@ def test_passages_are_found_among_many_that_share_either_side(spark):
     assert repeated_words(spark, docs) == {i: set(range(20, 70)) if i in whole else set() for i in docs}
 
 
+def test_stars_within_a_larger_star_go_and_no_pair_is_lost(spark):
+    rng = np.random.default_rng(3)
+    pairs = {tuple(sorted(p)) for p in rng.integers(0, 14, (60, 2)).tolist() if p[0] != p[1]} | {(20, 21), (20, 22), (20, 23), (21, 22), (21, 23), (22, 23)}
+    left = {tuple(r) for r in ngram_join.outer_stars(spark.createDataFrame(sorted(pairs), "center long, c long")).collect()}
+
+    def met(rows):
+        stars = {}
+        for a, b in rows:
+            stars.setdefault(a, {a}).add(b)
+        return {(x, y) for s in stars.values() for x in s for y in s}
+
+    assert left <= pairs and met(left) == met(pairs)
+    assert {p for p in left if p[0] >= 20} == {(20, 21), (20, 22), (20, 23)}
+
+
 EVERY = {
     "jaccard": lambda d: ngram_join.jaccard_components(d),
     "bpe": lambda d: bpe.encode(d, tokenizer()),
