@@ -273,6 +273,14 @@ def test_stars_within_a_larger_star_go_and_no_pair_is_lost(spark):
     assert {p for p in left if p[0] >= 20} == {(20, 21), (20, 22), (20, 23)}
 
 
+def test_lines_leave_columns_with_clashing_names(spark):
+    line = "one line of more than five words that stands twice"
+    rows = [(1, line, 10, 20, 30, 40), (2, line + "\nand another one", 11, 21, 31, 41)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, gone long, _doc long, _own_key long, row long")
+    got = sorted(tuple(r) for r in line_dedup.clean(docs).collect())
+    assert got == [rows[0], (2, "and another one", *rows[1][2:])]
+
+
 EVERY = {
     "jaccard": lambda d: ngram_join.jaccard_components(d),
     "bpe": lambda d: bpe.encode(d, tokenizer()),
