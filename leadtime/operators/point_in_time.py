@@ -222,20 +222,22 @@ def _segment_rows(group: Sequence[Source], features: Sequence[Feature], lattice:
                          *[within(by[name], F.col(by[name].code)).alias(f"_code_{name}") for name in coded])
     if not coded:
         return rows
-    # an event takes part in the row of its (entity, segment) and in one for each (entity, code), all in one aggregate
+    # an event takes part in the row of its (entity, segment) and in one for each (entity, code), all in one aggregate; rows of
+    # the one kind have a cell, of the other a code, and what a kind does not use is NULL, which shuffles small
     kinds = dict(rows.dtypes)
     codes = [f"_code_{name}" for name in coded]
     none = {c: F.lit(None).cast(kinds[c]) for c in codes}
-    parts = [F.struct(F.lit(0).alias("_set"), F.col("_segment").alias("_cell"), *[none[c].alias(c) for c in codes])] if plain else []
-    parts += [F.struct(F.lit(i + 1).alias("_set"), F.lit(None).cast(kinds["_segment"]).alias("_cell"),
-                       *[(F.col(c) if c == own else none[c]).alias(c) for c in codes]) for i, own in enumerate(codes)]
-    spread = rows.select(key, F.col("_segment").alias("_first"), *[f"_{m}_{name}" for m, name in plain], F.inline(F.array(*parts)))
-    kept = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in codes], F.col("_set") == 0)
-    found = spread.where(kept).groupBy(key, "_set", "_cell", *codes).agg(
-        F.min("_first").alias("_first"), *[(F.max if m == "last" else F.sum)(f"_{m}_{name}").alias(f"_{m}_{name}") for m, name in plain])
-    columns = [F.when(F.col("_set") == 0, F.col(f"_{m}_{name}")).alias(f"_{m}_{name}") for m, name in plain]
-    columns += [(F.col("_set") == i + 1).cast("long").alias(f"_codes_{name}") for i, name in enumerate(coded)]
-    return found.select(key, F.coalesce("_cell", "_first").alias("_segment"), *columns)
+    nowhere = F.lit(None).cast(kinds["_segment"])
+    parts = [F.struct(F.col("_segment").alias("_cell"), nowhere.alias("_first"), *[none[c].alias(c) for c in codes])] if plain else []
+    parts += [F.struct(nowhere.alias("_cell"), F.col("_segment").alias("_first"), *[(F.col(c) if c == own else none[c]).alias(c) for c in codes])
+              for own in codes]
+    spread = rows.select(key, *[f"_{m}_{name}" for m, name in plain], F.inline(F.array(*parts)))
+    kept = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in codes], F.col("_cell").isNotNull())
+    found = spread.where(kept).groupBy(key, "_cell", *codes).agg(
+        F.min("_first").alias("_first"),
+        *[(F.max if m == "last" else F.sum)(F.when(F.col("_cell").isNotNull(), F.col(f"_{m}_{name}"))).alias(f"_{m}_{name}") for m, name in plain])
+    met = [F.col(c).isNotNull().cast("long").alias(f"_codes_{name}") for c, name in zip(codes, coded)]
+    return found.select(key, F.coalesce("_cell", "_first").alias("_segment"), *[f"_{m}_{name}" for m, name in plain], *met)
 
 
 def _aggregate(f: Feature) -> Column:
@@ -249,8 +251,14 @@ def _aggregate(f: Feature) -> Column:
     return F.expr(shape.get(f.kind, "sum(CASE WHEN {0} THEN coalesce({1}, 0L) ELSE 0L END)").format(inside, value)).alias(f.name)
 
 
-def _cells(sources: Sequence[Source], features: Sequence[Feature], lattice: Lattice | None, key: str) -> DataFrame:
-    """One row per entity and segment with the measures of all sources."""
+def _combined(rows: DataFrame, key: str) -> DataFrame:
+    """One row per entity and segment."""
+    names = [c for c in rows.columns if c not in (key, "_segment")]
+    return rows.groupBy(key, "_segment").agg(*[(F.max if n.startswith("_last_") else F.sum)(n).alias(n) for n in names])
+
+
+def _parts(sources: Sequence[Source], features: Sequence[Feature], lattice: Lattice | None, key: str) -> tuple[list[tuple[DataFrame, bool]], str]:
+    """The rows of each table that sources name, and whether they have codes; the type of the last moments."""
     used = [s for s in sources if any(f.source == s.name for f in features)]
     unknown = {f.source for f in features} - {s.name for s in used}
     if unknown:
@@ -260,12 +268,14 @@ def _cells(sources: Sequence[Source], features: Sequence[Feature], lattice: Latt
         groups.setdefault((id(s.events), s.key, s.time), []).append(s)
     # the last moments of a day are told apart only where a source has them
     moment = "date" if all(dict(s.events.dtypes)[s.time] == "date" for s in used) else "timestamp"
-    whole = None
-    for group in groups.values():
-        part = _segment_rows(group, features, lattice, key, moment)
-        whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
-    names = [f"_{m}_{name}" for m, name in _measures(features)]
-    return whole.groupBy(key, "_segment").agg(*[(F.max if n.startswith("_last_") else F.sum)(n).alias(n) for n in names])
+    coded = {f.source for f in features if f.kind == "distinct"}
+    return [(_segment_rows(group, features, lattice, key, moment), any(s.name in coded for s in group)) for group in groups.values()], moment
+
+
+def _cells(sources: Sequence[Source], features: Sequence[Feature], lattice: Lattice, key: str) -> DataFrame:
+    """One row per entity and segment with the measures of all sources."""
+    parts, _ = _parts(sources, features, lattice, key)
+    return _combined(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [rows for rows, _ in parts]), key)
 
 
 def entity_features(sources: Sequence[Source], features: Sequence[Feature], obs_dates: Sequence[date],
@@ -296,7 +306,11 @@ def point_in_time_any_dates(cohort: DataFrame, sources: Sequence[Source], featur
     add up to comes from a table with one row per entity and slice. So no task holds a whole entity.
     """
     names = [f"_{m}_{name}" for m, name in _measures(features)]
-    cells = _cells(sources, features, None, key)
+    # a source's last moment is the last segment with an event of it, so its number of events is all that is shuffled
+    counted = [Feature(f.name, "count", f.source) if f.kind == "recency" else f for f in features]
+    parts, moment = _parts(sources, counted, None, key)
+    # rows with codes come from an aggregate already
+    cells = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [rows if coded else _combined(rows, key) for rows, coded in parts])
     back, ahead, day = _months_back(features), _months_ahead(features), f"CAST(`{obs}` AS date)"
     # (name, day, whether the moment itself still counts)
     borders = [("at", day, False)] + [(f"back_{m}", f"add_months({day}, {-m})", False) for m in back]
@@ -304,25 +318,33 @@ def point_in_time_any_dates(cohort: DataFrame, sources: Sequence[Source], featur
     each = ", ".join(f"named_struct('name', '{n}', 'at', unix_micros(CAST({d} AS timestamp)), 'after', {2 if after else 0})" for n, d, after in borders)
     probes = (cohort.select(key, obs).where(F.col(obs).isNotNull()).distinct().withColumn("_p", F.expr(f"explode(array({each}))"))
               .select(key, F.col(obs).alias("_obs"), F.col("_p.name").alias("_probe"), F.col("_p.at").alias("_segment"), F.col("_p.after").alias("_turn")))
-    # of one moment: probes that leave it out, its events, probes that take it in
-    line = (cells.withColumn("_turn", F.lit(1)).unionByName(probes, allowMissingColumns=True)
+    # of one moment: probes that leave it out, its events, probes that take it in; an entity without a key meets no row of the cohort
+    line = (cells.withColumn("_turn", F.lit(1)).unionByName(probes, allowMissingColumns=True).where(F.col(key).isNotNull())
             .withColumn("_slice", F.coalesce(F.floor(F.col("_segment") / F.lit(slice_days * 86_400_000_000)), F.lit(0))))  # never NULL, see prefix
 
     def total(name: str, column: str) -> Column:
         return (F.max if name.startswith("_last_") else F.sum)(column)
 
+    def own(name: str) -> Column:
+        return F.when(F.col(name.replace("_last_", "_n_", 1)) > 0, F.col("_segment")) if name.startswith("_last_") else F.col(name)
+
     def together(name: str, a: Column, b: Column) -> Column:
         if name.startswith("_last_"):
-            return F.greatest(a, b)
+            return F.timestamp_micros(F.greatest(a, b)).cast(moment)
         zero = F.lit(0.0 if name.startswith("_amt_") else 0)
         return F.coalesce(a, zero) + F.coalesce(b, zero)
 
-    inside = Window.partitionBy(key, "_slice").orderBy("_segment", "_turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ran = line.withColumns({f"_in{n}": total(n, n).over(inside) for n in names}).where(F.col("_probe").isNotNull())
+    line = line.repartition(key, "_slice")  # what windows compute of a row's values comes after the shuffle
+    order = Window.partitionBy(key, "_slice").orderBy("_segment", "_turn")
+    inside = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ran = line.withColumns({**{f"_in{n}": total(n, own(n)).over(inside) for n in names},
+                            "_asked": F.max(F.when(F.col("_probe").isNotNull(), F.col("_obs"))).over(inside), "_end": F.lead("_turn").over(order).isNull()})
+    # the last row of a slice has the slice's totals; both readers need the same columns, so that one shuffle serves them. What came
+    # before is kept for slices with probes only
     earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = line.groupBy(key, "_slice").agg(*[total(n, n).alias(n) for n in names])
-    carried = slices.select(key, "_slice", *[total(n, n).over(earlier).alias(f"_to{n}") for n in names])
-    met = ran.join(carried, [key, "_slice"]).select(
+    carried = (ran.where("_end").select(key, "_slice", "_asked", *[total(n, f"_in{n}").over(earlier).alias(f"_to{n}") for n in names])
+               .where(F.col("_asked").isNotNull()))
+    met = ran.where(F.col("_probe").isNotNull()).join(carried.drop("_asked"), [key, "_slice"]).select(
         key, "_obs", "_probe", *[together(n, F.col(f"_in{n}"), F.col(f"_to{n}")).alias(n) for n in names])
     needed = {f"{probe}{n}": F.max(F.when(F.col("_probe") == probe, F.col(n))).alias(f"{probe}{n}") for probe, _, _ in borders for n in names}
     wide = met.groupBy(key, F.col("_obs").alias(obs)).agg(*needed.values())

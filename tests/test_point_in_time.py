@@ -233,3 +233,23 @@ def test_own_dates_read_a_table_once_and_split_a_hot_entity(spark, tmp_path):
     assert sum("FileScan" in line for line in plan.split("\n")) == 1 and "ReusedExchange" in plan
     spread = [line for line in plan.split("\n") if "Window [" in line and "_turn" in line]
     assert spread and all("_slice" in line.split("ASC")[0] for line in spread)
+
+
+def test_own_dates_shuffle_events_by_code_and_slice_only(spark, frame, cohort):
+    out = pit.point_in_time_any_dates(cohort, sources(frame), FEATURES, "id")
+    out.collect()
+    from test_evaluation import ran
+
+    shuffles = [line for line in ran(out).split("\n") if "Exchange hashpartitioning(" in line and "Reused" not in line]
+    assert sum("_slice#" in line for line in shuffles) <= 2  # events with probes, and the few slices that are asked for
+    assert not [line for line in shuffles if "_segment#" in line.split("),")[0]]
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp"])
+def test_own_dates_find_the_last_event_of_a_source_that_is_not_counted(spark, kind):
+    days = [("a", "2008-01-01", 1), ("a", "2008-03-01", 0), ("a", "2008-03-05", 1), ("b", "2008-03-04", 0), (None, "2008-03-01", 1)]
+    df = spark.createDataFrame(days, "id string, d string, kind int").withColumn("day", F.col("d").cast(kind))
+    cohort = spark.createDataFrame([("a", date(2008, 3, 5)), ("a", date(2008, 3, 6)), ("b", date(2008, 3, 5)), (None, date(2008, 3, 5))], "id string, obs_date date")
+    some = pit.Source("x", df, "id", "day", where=F.col("kind") == 1)
+    got = pit.point_in_time_any_dates(cohort, [some], [pit.days_since_last("x", "days")], "id").collect()
+    assert {(r.id, r.obs_date.day): r.days for r in got} == {("a", 5): 64, ("a", 6): 1, ("b", 5): 0, (None, 5): 0}
