@@ -298,3 +298,24 @@ def test_odd_and_empty_tables(odd_docs, no_docs, name):
     rows = EVERY[name](odd_docs).collect()
     assert len(rows) == odd_docs.count() if name not in ("suffix", "vectors") else True
     assert EVERY[name](no_docs).collect() == []
+
+
+def test_components_of_stars_need_no_step(spark, monkeypatch):
+    from leadtime.llm import components as module
+
+    made = []
+    cut = module.cut_lineage
+    monkeypatch.setattr(module, "cut_lineage", lambda df, name: made.append(name) or cut(df, name))
+    stars = [(1, 2), (5, 1), (1, 9), (3, 4)]
+    got = {r.node: r.root for r in module.components(spark.createDataFrame(stars, "a long, b long")).collect()}
+    assert got == {1: 1, 2: 1, 5: 1, 9: 1, 3: 3, 4: 3} and len(made) == 1
+
+
+def test_simhash_takes_few_operations_up_to_the_longest_lines(spark):
+    rows = [(n, " ".join(f"W{i % 19}, x{i % (n + 1)}?" for i in range(n))) for n in (1, 4, 5, 60, 1000)] + [(7, "a\tb\x0bc\x0cd\re 12-3"), (8, "b " * 2047)]
+    split = line_dedup.split_lines(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    for stride in (line_dedup.NARROW, line_dedup.WIDE):
+        lines = line_dedup.hashed(split, stride)
+        got = {r.doc: (r.n_words, r.sim % 2**64) for r in lines.collect()}
+        assert got == {i: (len(w), brute.simhash(w)) for i, t in rows for w in [brute.line_words(t)]}
+        assert lines._jdf.queryExecution().optimizedPlan().toString().count("CASE WHEN") < 8

@@ -67,3 +67,19 @@ def test_mixed_rows_repeat_as_often_as_the_mix_takes_them(spark):
     want = {r.doc_id: r.passes for r in mixing.mix(docs).collect() if r.passes}
     got = {r.doc_id: r.n for r in STAGES["mixing sources"](spark, docs, "").groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
     assert got == want
+
+
+def test_a_stage_lets_the_driver_drop_what_former_queries_left(spark):
+    def collections():
+        return sum(b.getCollectionCount() for b in spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans())
+
+    class Held:
+        pass
+
+    import weakref
+
+    held = Held()
+    held.itself, seen, before = held, weakref.ref(held), collections()
+    del held
+    STAGES["quality rules"](spark, table(spark, [(1, "one text", "a")]), "")
+    assert seen() is None and collections() > before
