@@ -313,6 +313,7 @@ def test_components_of_stars_need_no_step(spark, monkeypatch):
 
 def test_simhash_takes_few_operations_up_to_the_longest_lines(spark):
     rows = [(n, " ".join(f"W{i % 19}, x{i % (n + 1)}?" for i in range(n))) for n in (1, 4, 5, 60, 1000)] + [(7, "a\tb\x0bc\x0cd\re 12-3"), (8, "b " * 2047)]
+    rows += rows[:4]  # equal rows add up
     split = line_dedup.split_lines(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
     for stride in (line_dedup.NARROW, line_dedup.WIDE):
         lines = line_dedup.hashed(split, stride)
