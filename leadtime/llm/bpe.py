@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
@@ -26,6 +27,8 @@ from leadtime.llm.files import write_whole
 
 #: How the tokenizer cuts a text into words (a fixed pattern of its file format). The JVM form only counts words for the lexicon.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
+#: The same for ASCII texts, in the standard library's faster engine.
+ASCII_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\x20\x09-\x0DA-Za-z0-9]+|[\x20\x09-\x0D]+(?![^\x20\x09-\x0D])|[\x20\x09-\x0D]+"
 JVM_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
 LEXICON_WORDS = 150_000
 #: The rank of a pair that is never joined.
@@ -34,6 +37,8 @@ NEVER = 1 << 30
 LONG = 100
 #: Words that a worker remembers between batches.
 REMEMBERED = 400_000
+#: Characters of texts whose words a worker holds at the same time.
+TOGETHER = 1 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -54,7 +59,15 @@ class Rules:
         pairs = (m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"])
         self.ranks = {(plain[a], plain[b]): r for r, (a, b) in enumerate(pairs)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.bytes = {i: b for b, i in self.ids.items()} | {i: t.encode() for t, i in self.special.items()}
+        known = {i: b for b, i in self.ids.items()} | {i: t.encode() for t, i in self.special.items()}
+        self.bytes = [known.get(i) for i in range(max(known) + 1)]
+        # the pairs once more as sorted numbers, with the rank and the id of what they are joined to
+        self.size = len(self.bytes)
+        pairs, ids = list(self.ranks), self.ids.__getitem__
+        first, second, joined = (np.array([*map(ids, n)], np.int64) for n in ((a for a, _ in pairs), (b for _, b in pairs), (a + b for a, b in pairs)))
+        order = np.argsort(first * self.size + second)
+        self.pair, self.rank, self.joined = (first * self.size + second)[order], np.array([*self.ranks.values()], np.int64)[order], joined[order]
+        self.single = np.array([self.ids.get(bytes([b]), -1) for b in range(256)], np.int64)
 
     def merge(self, word: bytes) -> list[int]:
         """The ids of one word: the best-ranked pair is joined, everywhere, until no pair has a rank."""
@@ -79,6 +92,59 @@ class Rules:
                 i += 1
         return [self.ids[p] for p in parts]
 
+    def look(self, flat: np.ndarray, owner: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and joined id of the pairs that begin at these places; NEVER where the word ends or the pair is not joined."""
+        after = np.minimum(at + 1, len(flat) - 1)
+        key = flat[at] * self.size + flat[after]
+        place = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
+        hit = (self.pair[place] == key) & (owner[at] == owner[after]) & (after > at)
+        return np.where(hit, self.rank[place], NEVER), self.joined[place]
+
+    def merge_many(self, words: list[bytes]) -> list[bytes]:
+        """``merge`` of each word, as little-endian 32-bit numbers. Words of up to LONG bytes go together: a step joins the best pair of each, at all its places."""
+        out = [b""] * len(words)
+        short = []
+        for i, w in enumerate(words):
+            if len(w) > LONG or not len(self.pair):
+                out[i] = np.array(self.merge(w), "<u4").tobytes()
+            elif w:
+                short.append(i)
+        if not short:
+            return out
+        flat = self.single[np.frombuffer(b"".join(words[i] for i in short), np.uint8)]
+        if (flat < 0).any():
+            raise KeyError("a byte is not in the vocabulary")
+        owner = np.repeat(np.arange(len(short)), [len(words[i]) for i in short])
+        ranks, joined = self.look(flat, owner, np.arange(len(flat)))
+        owners, ids = [], []
+        while len(flat):
+            starts = np.flatnonzero(np.diff(owner, prepend=-1))
+            best = np.repeat(np.minimum.reduceat(ranks, starts), np.diff(starts, append=len(flat)))
+            going = best != NEVER
+            if not going.all():
+                owners.append(owner[~going])
+                ids.append(flat[~going])
+                flat, owner, ranks, joined, best = flat[going], owner[going], ranks[going], joined[going], best[going]
+            at = np.flatnonzero(ranks == best)
+            if not len(at):
+                break
+            # a pair of equal parts may overlap itself: from the left, every other one is joined
+            first = np.diff(at, prepend=-2) != 1
+            nth = np.arange(len(at))
+            at = at[(nth - np.maximum.accumulate(np.where(first, nth, 0))) % 2 == 0]
+            flat[at] = joined[at]
+            left = np.ones(len(flat), bool)
+            left[at + 1] = False
+            flat, owner, ranks, joined = flat[left], owner[left], ranks[left], joined[left]
+            at -= np.arange(len(at))
+            changed = np.concatenate([at, at[at > 0] - 1])
+            ranks[changed], joined[changed] = self.look(flat, owner, changed)
+        owner, flat = np.concatenate(owners), np.concatenate(ids)
+        order = np.argsort(owner, kind="stable")
+        raw, ends = flat[order].astype("<u4").tobytes(), (4 * np.cumsum(np.bincount(owner, minlength=len(short)))).tolist()
+        for i, begin, end in zip(short, [0, *ends], ends):
+            out[i] = raw[begin:end]
+        return out
 
     def merge_long(self, word: bytes) -> list[int]:
         """The same for words of any length, with a heap of pairs instead of a scan for each merge."""
@@ -206,10 +272,13 @@ class Encoder:
 
     def __init__(self, rules: Rules, lexicon: Lexicon | None):
         self.rules, self.lexicon, self.known = rules, lexicon, {}
-        self.cut = regex.compile(PATTERN, regex.V1).findall
+        self.cut_any, self.cut_ascii = regex.compile(PATTERN, regex.V1).findall, re.compile(ASCII_PATTERN).findall
         special = "|".join(regex.escape(s) for s in sorted(rules.special, key=len, reverse=True))
         self.special = regex.compile(f"({special})") if special else None
 
+    def cut(self, text: str) -> list[str]:
+        return self.cut_ascii(text) if text.isascii() else self.cut_any(text)
+
     def pieces(self, text: str) -> list[str]:
         """Words of a text; special tokens stand alone."""
         if self.special is None or not any(s in text for s in self.rules.special):
@@ -221,15 +290,28 @@ class Encoder:
         fresh = sorted(words - self.known.keys())
         plain = [w.encode() for w in fresh]
         numbers = self.lexicon.find(plain) if self.lexicon else np.full(len(fresh), -1)
+        rest = []
         for word, raw, number in zip(fresh, plain, numbers.tolist()):
             if word in self.rules.special:
-                ids = [self.rules.special[word]]
+                self.known[word] = np.asarray([self.rules.special[word]], "<u4").tobytes()
+            elif number >= 0:
+                self.known[word] = self.lexicon.output(number).astype("<u4").tobytes()
             else:
-                ids = self.lexicon.output(number) if number >= 0 else self.rules.merge(raw)
-            self.known[word] = np.asarray(ids, "<u4").tobytes()
+                rest.append((word, raw))
+        self.known.update(zip([word for word, _ in rest], self.rules.merge_many([raw for _, raw in rest])))
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text; new words of all texts are looked up together."""
+        """The ids of each text; new words of some texts at a time are looked up together."""
+        some, size = [], 0
+        for text in texts:
+            some.append(text)
+            size += len(text)
+            if size >= TOGETHER:
+                yield from self.encode_some(some)
+                some, size = [], 0
+        yield from self.encode_some(some)
+
+    def encode_some(self, texts: list[str]) -> Iterator[bytes]:
         cuts = [self.pieces(t) for t in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
@@ -264,7 +346,7 @@ def build_lexicon(docs: DataFrame, rules: Rules, text: str = "text", n: int = LE
     """Compile the frequent words, store the file in the shared folder and ship it; returns its name on the executors."""
     spark = docs.sparkSession
     words = sorted({w.encode() for w in frequent_words(docs, text, n)})
-    data = pack(compile_words(words, [rules.merge(w) for w in words]))
+    data = pack(compile_words(words, [np.frombuffer(ids, "<u4").tolist() for ids in rules.merge_many(words)]))
     path = scratch_path(spark, "lexicon")
     write_whole(path, data)
     spark.sparkContext.addFile(path)

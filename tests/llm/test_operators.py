@@ -85,6 +85,40 @@ def test_bpe_equals_the_library_and_comes_back(spark):
         assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
 
 
+def test_words_merged_together_have_the_ids_of_words_merged_alone(monkeypatch):
+    with open(tokenizer(), encoding="utf-8") as f:
+        rules = bpe.Rules(f.read())
+    rng = np.random.default_rng(7)
+    words = [bytes(rng.choice(list(b" aeinrst\xc3\xa9"), n).tolist()) for n in rng.integers(1, 40, 3000)]
+    words += [b"", b"a" * 7, b"a" * 8, b" " * 90, b"abab" * 20, b"e" * 100, b"e" * 101, b"x" * 500, "日本語".encode(), bytes(range(90))]
+    alone = [rules.merge(w) for w in words]
+    monkeypatch.setattr(rules, "merge", lambda w: rules.merge_long(w) if len(w) > bpe.LONG else pytest.fail("a short word was merged alone"))
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in rules.merge_many(words)] == alone
+    assert rules.merge_many([]) == []
+
+
+def test_ascii_texts_are_cut_as_any_other():
+    with open(tokenizer(), encoding="utf-8") as f:
+        encoder = bpe.Encoder(bpe.Rules(f.read()), None)
+    rng = np.random.default_rng(9)
+    letters = [*map(chr, range(128)), *" \n\t'" * 12, "'s", "'ll", "'re", "  \n"]
+    for n in rng.integers(0, 60, 3000):
+        text = "".join(letters[i] for i in rng.integers(0, len(letters), n))
+        assert encoder.cut_ascii(text) == encoder.cut_any(text)
+
+
+def test_a_worker_holds_the_words_of_few_texts_at_a_time(monkeypatch):
+    with open(tokenizer(), encoding="utf-8") as f:
+        encoder = bpe.Encoder(bpe.Rules(f.read()), None)
+    texts = [f"text {i} of some <|endoftext|> words\n" for i in range(50)] + ["", "end"]
+    want, held = list(encoder.encode(texts)), []
+    some = encoder.encode_some
+    monkeypatch.setattr(bpe, "TOGETHER", 100)
+    monkeypatch.setattr(encoder, "encode_some", lambda t: held.append(len(t)) or some(t))
+    assert list(encoder.encode(texts)) == want and max(held) <= 4 and sum(held) == len(texts)
+    assert [encoder.decode(ids) for ids in want] == texts
+
+
 def test_automaton_numbers_its_words_and_shares_endings(tmp_path):
     words = sorted({f"{a}{b}".encode() for a in ("walk", "talk", "stalk") for b in ("", "s", "ed", "ing")})
     arrays = bpe.compile_words(words, [[i, i + 1] for i in range(len(words))])
