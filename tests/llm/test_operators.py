@@ -354,3 +354,33 @@ def test_simhash_takes_few_operations_up_to_the_longest_lines(spark):
         got = {r.doc: (r.n_words, r.sim % 2**64) for r in lines.collect()}
         assert got == {i: (len(w), brute.simhash(w)) for i, t in rows for w in [brute.line_words(t)]}
         assert lines._jdf.queryExecution().optimizedPlan().toString().count("CASE WHEN") < 8
+
+
+def test_simhash_counts_many_words_in_a_row_of_the_aggregate(spark):
+    rows = [(n, " ".join(f"w{i % 5}y{i * i % (n + 2)}" for i in range(n)) or "..") for n in (*range(0, 64), 150, 151, 165)]
+    split = line_dedup.split_lines(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    for stride in (line_dedup.NARROW, line_dedup.WIDE):
+        lines = line_dedup.hashed(split, stride)
+        got = {r.doc: (r.n_words, r.sim % 2**64) for r in lines.collect()}
+        assert got == {i: (len(w), brute.simhash(w)) for i, t in rows for w in [brute.line_words(t)]}
+        sets_out = [x for x in lines._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Generate explode" in x]
+        assert all(f"sequence(0, greatest((n_words" in x and f"Some({line_dedup.CHUNK})" in x for x in sets_out if "[_at" in x) and any("[_at" in x for x in sets_out)
+
+
+def test_long_lines_are_told_apart_as_by_their_edit_distance(spark):
+    rng = np.random.default_rng(11)
+    own = lambda n: [f"{x:x}" for x in rng.integers(0, 10 ** 6, n)]
+    pairs = []
+    for n in (8, 30, 60):
+        for edits in (1, 2, n // 8, n // 6, n // 4):
+            base = own(n)
+            w = list(base)
+            for at in sorted(rng.choice(n, edits, replace=False), reverse=True):
+                w[at:at + 1] = [[], own(1), own(2)][rng.integers(0, 3)]
+            pairs += [(base, w), (base, base[edits:] + base[:edits]), (base[:n // 2] + w[n // 2:], base), (own(n), base)]
+    df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(pairs)], "id long, x array<string>, y array<string>")
+    told = df.select("id", line_dedup.alike("x", "y", 85).alias("linked"))
+    spelt = [(" ".join(x) + " ", " ".join(y) + " ") for x, y in pairs]
+    want = {i: brute.edit(x, y) * 100 <= max(len(x), len(y)) * 15 for i, (x, y) in enumerate(spelt)}
+    assert {r.id: r.linked for r in told.collect()} == want and 10 < sum(want.values()) < len(want) - 10
+    assert "left(" in told._jdf.queryExecution().analyzed().toString()  # ends go before whole lines
