@@ -83,3 +83,14 @@ def test_a_stage_lets_the_driver_drop_what_former_queries_left(spark):
     del held
     STAGES["quality rules"](spark, table(spark, [(1, "one text", "a")]), "")
     assert seen() is None and collections() > before
+
+
+def test_a_scratch_table_lets_a_full_driver_drop_what_finished_queries_left(spark, monkeypatch):
+    from leadtime.llm import common
+
+    settled = []
+    monkeypatch.setattr(common, "settle", settled.append)
+    monkeypatch.setattr(common, "FULL", 1.0)
+    assert common.cut_lineage(spark.range(3)).count() == 3 and settled == []
+    monkeypatch.setattr(common, "FULL", 0.0)
+    assert common.cut_lineage(spark.range(3)).count() == 3 and settled == [spark]
