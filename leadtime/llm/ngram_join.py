@@ -23,13 +23,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from leadtime.llm.common import bits_table, cut_lineage, discard, lower_words, stored
+from leadtime.llm.common import bits_table, cut_lineage, discard, lower_words, small_batches, stored
 from leadtime.llm.components import components
 
 #: Ratio of a band's ends; shingles of a block of candidates compared in one go; bits of the filters.
 RATIO, BLOCK, KEY_BITS, CLASS_BITS = 1.4, 1_000_000, 26, 23
 #: Shingles whose keys are made in one go; bytes of a shuffled key; of the stored shingles, the share that the keys of a pass may take.
 CHUNK, KEY_BYTES, PASS_SHARE = 300_000, 18, 0.5
+#: Names of sets that a worker remembers to leave out copies.
+REMEMBERED = 100_000
 K1, K2, K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -236,15 +238,16 @@ def linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 
 
 def _over_hashes(docs: DataFrame, key: str, text: str, make, schema: str) -> DataFrame:
-    """Run ``make(key column, list of word-hash arrays)`` over batches of whole texts."""
+    """Run ``make(key column, list of word-hash arrays, set that lasts for a task)`` over batches of whole texts."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = set()
         with np.errstate(over="ignore"):
             for batch in it:
                 lists = batch.column(1)
                 offsets = np.asarray(lists.offsets)
                 flat = np.asarray(lists.values)
-                yield from make(batch.column(0), [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:])])
+                yield from make(batch.column(0), [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:])], met)
 
     return docs.select(F.col(key).alias("key"), word_hashes(F.col(text)).alias("h")).mapInArrow(batches, schema)
 
@@ -285,18 +288,20 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     kind = docs.schema[key].dataType.simpleString()
 
-    def facts(keys, texts):
-        met = set()
+    def facts(keys, texts, met):
         for some in chunks(texts):
             sets = batch_shingles([texts[i] for i in some], width)
             names = [set_class(s) if len(s) else None for s in sets]
-            # a copy within the batch is the same set
+            if len(met) > REMEMBERED:
+                met.clear()
+            # a copy of a set that was met is the same set
             held = [s.tobytes() if c is not None and not (c in met or met.add(c)) else None for s, c in zip(sets, names)]
             yield pa.RecordBatch.from_arrays([keys.slice(some[0], len(some)), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()),
                                               pa.array([round(sum(x.expected() for x in schemes_of(len(s), percent))) if h else 0 for s, h in zip(sets, held)], pa.int64()),
                                               pa.array(held, pa.binary())], ["key", "n_shingles", "set_class", "n_keys", "tokens"])
 
-    stored_sets = cut_lineage(_over_hashes(docs, key, text, facts, f"key {kind}, n_shingles long, set_class long, n_keys long, tokens binary"), "shingle-sets")
+    with small_batches(spark):
+        stored_sets = cut_lineage(_over_hashes(docs, key, text, facts, f"key {kind}, n_shingles long, set_class long, n_keys long, tokens binary"), "shingle-sets")
     rows = stored_sets.select("key", "n_shingles", "set_class")
     held_sets = stored_sets.where("tokens is not null").select(F.col("set_class").alias("c"), "tokens")
     n_keys, n_tokens = stored_sets.where("tokens is not null").agg(F.sum("n_keys"), F.sum("n_shingles")).first()
@@ -321,11 +326,13 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     stars = None
     for number in range(passes):  # as many as keys for each shingle ask for, whatever the number of rows
-        shared, path = stored(emitted(number).groupBy("k").agg(F.min("c").alias("center"), F.max("c").alias("_other"))
-                              .where("center <> _other").select("k", "center"), "shared-keys")
+        with small_batches(spark):
+            shared, path = stored(emitted(number).groupBy("k").agg(F.min("c").alias("center"), F.max("c").alias("_other"))
+                                  .where("center <> _other").select("k", "center"), "shared-keys")
         some_keys = spark.sparkContext.broadcast(_bitmap(shared, "k", KEY_BITS))
         met = emitted(number, some_keys).join(shared, "k").select("center", "c").where("center <> c").distinct()
-        some_stars = cut_lineage(met, "stars")
+        with small_batches(spark):
+            some_stars = cut_lineage(met, "stars")
         stars = some_stars if stars is None else stars.union(some_stars)
         some_keys.destroy()
         discard(spark, path)
@@ -368,7 +375,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
         sets = held_sets.mapInArrow(wanted, "c long, tokens binary").groupBy("c").agg(F.first("tokens").alias("tokens"))
         grouped = (some.join(sets, "c").repartition("center", "i", "j")
                    .sortWithinPartitions("center", "i", "j", "c").select("center", "i", "j", "c", "tokens"))
-        found = cut_lineage(grouped.mapInArrow(compare, "a long, b long"), "links")
+        with small_batches(spark):
+            found = cut_lineage(grouped.mapInArrow(compare, "a long, b long"), "links")
         links = found if links is None else links.union(found)
         classes.destroy()
     roots = components(links)

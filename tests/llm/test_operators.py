@@ -384,3 +384,21 @@ def test_long_lines_are_told_apart_as_by_their_edit_distance(spark):
     want = {i: brute.edit(x, y) * 100 <= max(len(x), len(y)) * 15 for i, (x, y) in enumerate(spelt)}
     assert {r.id: r.linked for r in told.collect()} == want and 10 < sum(want.values()) < len(want) - 10
     assert "left(" in told._jdf.queryExecution().analyzed().toString()  # ends go before whole lines
+
+
+def test_texts_and_sets_reach_workers_a_few_megabytes_at_a_time(spark, tmp_path, monkeypatch):
+    log, real = str(tmp_path / "shingles"), ngram_join.chunks
+
+    def spy(sets, *args):
+        with open(log, "a") as out:
+            out.write(f"{sum(len(s) for s in sets)}\n")
+        return real(sets, *args)
+
+    monkeypatch.setattr(ngram_join, "chunks", spy)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.range(0, 4000, 1, 2).selectExpr("id as doc_id", "array_join(transform(sequence(1, 500), i -> concat(i, 'x', id % 3000)), ' ') as text")
+    found = ngram_join.jaccard_components(docs)
+    assert found.where("component_id = doc_id").count() == 3000 and found.count() == 4000
+    held = [int(x) for x in open(log)]
+    assert sum(held) >= 4000 * 500 and max(held) * 8 <= 5 << 20
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
