@@ -386,6 +386,36 @@ def test_long_lines_are_told_apart_as_by_their_edit_distance(spark):
     assert "left(" in told._jdf.queryExecution().analyzed().toString()  # ends go before whole lines
 
 
+def test_lines_are_told_apart_by_missing_pieces_before_their_distance(spark):
+    rng = np.random.default_rng(12)
+    own = lambda n: ["".join(rng.choice(list("abcdeäöüß"), rng.integers(1, 9))) for _ in range(n)]
+    pairs = [(own(n), own(m)) for n, m in ((1, 2), (5, 6), (40, 42), (90, 90), (90, 99))]
+    for n in (6, 25, 70):
+        for gone, more in ((1, 0), (0, 1), (n // 9, n // 9), (n // 7, 0), (0, n // 7), (n // 5, n // 12)):
+            w = own(n)
+            x, y = list(w), list(w)
+            for at in rng.integers(0, n - gone, gone):
+                del y[at]
+            for at in rng.integers(0, len(y), more):
+                y[at:at] = own(1)
+            pairs += [(x, y), (y, x), (["start"] + x + ["end"], ["begin"] + y + ["close"])]
+    df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(pairs)], "id long, x array<string>, y array<string>")
+    told = df.select("id", line_dedup.alike("x", "y", 85).alias("linked"))
+    spelt = [(" ".join(x) + " ", " ".join(y) + " ") for x, y in pairs]
+    want = {i: brute.edit(x, y) * 100 <= max(len(x), len(y)) * 15 for i, (x, y) in enumerate(spelt)}
+    assert {r.id: r.linked for r in told.collect()} == want and 10 < sum(want.values()) < len(want) - 10
+    plan = told._jdf.queryExecution().analyzed().toString()
+    assert plan.count("concat_ws(") == 2 and "contains(" in plan.lower()  # the limit is worked out once for a pair
+
+
+def test_words_of_a_line_lose_punctuation_by_one_pattern(spark):
+    rows = ["It's a [test], isn't it? {x|y} #tag *_* a-b \"q\"; (c): end!", "Ä ΣΑΣ, été 1234567890 12-3", "a\tb\x0bc\x0cd\re \u00a0 f", "... --- !!!", "", " \\ $1 ^a ~&/ "]
+    words = line_dedup.normal_words(F.col("line"))
+    got = spark.createDataFrame([(x,) for x in rows], "line string").select("line", words.alias("w"))
+    assert {r.line: tuple(r.w) for r in got.collect()} == {x: brute.line_words(x) for x in rows}
+    assert "regexp_replace(" in got._jdf.queryExecution().analyzed().toString()
+
+
 def test_texts_and_sets_reach_workers_a_few_megabytes_at_a_time(spark, tmp_path, monkeypatch):
     log, real = str(tmp_path / "shingles"), ngram_join.chunks
 
