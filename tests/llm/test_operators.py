@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
 from collections import Counter
 
 import brute
@@ -9,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from leadtime.llm import bpe, line_dedup, mixing, ngram_join, quality_classifier, quality_rules, sharding, suffix_dedup, vptree, warc
+from leadtime.llm import bpe, common, line_dedup, mixing, ngram_join, quality_classifier, quality_rules, sharding, suffix_dedup, vptree, warc
 from leadtime.llm.catalog import tokenizer
 from leadtime.llm.components import components
 
@@ -229,6 +230,31 @@ def test_lines_equal_brute_force(spark):
     assert got == brute.clean_lines(docs)
 
 
+def test_unlike_lines_are_compared_a_few_at_a_time(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    words = sorted({"".join(rng.choice(list("abcdefghijklmnopqrst"), 6)) for _ in range(60)})
+    texts = []
+    for _ in range(8):  # one SimHash for all orders of the words
+        line = " ".join(rng.permutation(words))
+        texts += [line, line.replace(" ", ", ", 1) + "\nshort", line.replace(words[31], words[31] + "s")]
+    docs, begun, sizes, keep = numbered(texts), len(common.MADE), [], line_dedup.stored
+
+    def stored(df, name):
+        table, path = keep(df, name)
+        if name == "line-links":
+            sizes.append(table.count())
+        return table, path
+
+    monkeypatch.setattr(line_dedup, "stored", stored)
+    monkeypatch.setattr(line_dedup, "SHARE", 0)
+    monkeypatch.setattr(line_dedup, "LEAST_CHARS", 12_000)
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.text) for r in line_dedup.clean(frame(spark, docs), counts=True).collect()}
+    assert got == brute.clean_lines(docs)
+    assert sum(sizes) > 40 and max(sizes) < 24 and len(sizes) > line_dedup.ROUNDS + 1  # a pair has about 840 characters
+    left = {os.path.basename(path).rpartition("-")[0] for path in common.MADE[begun:] if os.path.exists(path.removeprefix("file:"))}
+    assert "line-places" in left and left <= {"line-places", "line-groups", "edges"}
+
+
 def test_counters_of_either_width_give_one_simhash(spark):
     rows = [(i, " ".join("w" + "abcdefghij"[j * j % (i + 7) % 10] * (i % 3 + 1) for j in range(i * 9 + 1)) + " \n... ---\n") for i in range(60)]
     lines = line_dedup.split_lines(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
